@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from kindred.llm.arrow import column, slices
 from kindred.llm.common import materialize, ship, text_of
 
-DICT_BYTES, SAMPLE_DOCS, LEVEL, MARGIN = 96 << 10, 400, 3, 0.02
+DICT_BYTES, SAMPLE_DOCS, LEVEL, MARGIN = 96 << 10, 400, 6, 0.02
 
 
 def held_out(doc_id: Column) -> Column:

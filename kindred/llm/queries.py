@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import exact, langid, mixing, pieces, quality, tokenbin, urlfilter, warc
+from kindred.llm import exact, langid, linedup, minhash, mixing, pieces, quality, tokenbin, urlfilter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,12 +45,22 @@ def op8_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.report(_table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.report(_table(spark, sf_dir, "documents"))
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_mixing, op2_url_filter, op3_sentencepiece, op4_exact_dedup, op5_warc, op6_language_id, op7_quality_rules, op8_token_binary)}
+    op1_mixing, op2_url_filter, op3_sentencepiece, op4_exact_dedup, op5_warc, op6_language_id, op7_quality_rules, op8_token_binary, op9_line_dedup, op10_minhash)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filter": urlfilter.ORACLE_SQL,
     "op4_exact_dedup": exact.ORACLE_SQL,
     "op5_warc": warc.ORACLE_SQL,
     "op7_quality_rules": quality.ORACLE_SQL,
+    "op9_line_dedup": linedup.ORACLE_SQL,
+    "op10_minhash": minhash.ORACLE_SQL,
 }
