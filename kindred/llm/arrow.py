@@ -41,12 +41,17 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 
 def word_codes(array: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(distinct words, codes, offsets): words offsets[i] up to offsets[i + 1] of codes are text i's, split at ASCII white space."""
-    split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(array))
+    """Of large strings without nulls: (distinct words, codes, offsets).  Words offsets[i] up to offsets[i + 1] of codes are text i's, split at ASCII white space."""
+    blank = np.arange(256, dtype=np.uint8)
+    blank[9:14] = 32
+    _, ends, data = array.buffers()
+    if data is not None:  # white space is a byte of its own in UTF-8, so bytes can be replaced in place
+        data = pa.py_buffer(blank[np.frombuffer(data, np.uint8)])
+    split = pc.split_pattern(pa.LargeStringArray.from_buffers(len(array), ends, data, offset=array.offset), " ")
     offsets = np.asarray(split.offsets, dtype=np.int64)
     flat = split.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
     names, codes, offsets = flat.dictionary.to_numpy(zero_copy_only=False).tolist(), np.asarray(flat.indices, dtype=np.int64), offsets - offsets[0]
-    if "" in names:  # of texts without words
+    if "" in names:  # between neighbouring blanks
         gone = codes == names.index("")
         left = np.concatenate([[0], np.cumsum(~gone)])
         codes, offsets = codes[~gone], left[offsets]

@@ -127,7 +127,8 @@ def annotate(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", so
     limits = materialize(fences(materialize(sketch(measured), "quality-sketches"), spread, least), "quality-fences")
     limits = limits.withColumnsRenamed({"_lang": "_l", "_source": "_s"})
     full = _repeat_steps(measured)
-    full = full.select("_row", "_lang", "_source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *METRICS)
+    # _order keeps filters on the verdict above this projection: pushed below it, they would repeat its steps within each other.
+    full = full.select("_row", "_lang", "_source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *METRICS, F.monotonically_increasing_id().alias("_order"))
     full = sized_join(full, limits, F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_source").eqNullSafe(F.col("_s")), "left")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     within = F.lit(True)
@@ -145,7 +146,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
 
 def filter_documents(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs that are kept, with docs' own columns."""
-    return annotate(docs, **how).where("kept").select("_row.*")
+    return annotate(docs, **how).where("kept AND _order >= 0").select("_row.*")
 
 
 def _oracle(spread: float = 6.0, least: int = 100) -> str:
