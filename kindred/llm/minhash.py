@@ -90,7 +90,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     state = None
-    while True:
+    while edges.head(1):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -103,6 +103,7 @@ def components(edges: DataFrame) -> DataFrame:
             roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             return materialize(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots), "components")
         state = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 class _Job:
@@ -227,7 +228,7 @@ class _Job:
         found = sized_join(self.rows.select("id", "n", "same"), self.copies, "same", "left").withColumn("rep", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")))
         # A row's id and its class's are one node: ids that carry several sets tie their classes together.
         ties = found.where("n > 0 AND id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-        roots = components(self.links.select("a", "b").unionByName(ties))
+        roots = components(ties if self.links is None else self.links.select("a", "b").unionByName(ties))
         return sized_join(found, roots.withColumnRenamed("node", "id"), "id", "left").select("id", "n", F.coalesce("root", "id").alias("component"))
 
 
@@ -237,9 +238,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     Two rows are linked where their shingle sets have a Jaccard similarity of percent / 100 or more.
     """
     job = _Job(docs, width, percent, id_col, text_col)
-    for k in range(ROUNDS):
-        job.star(k)
-    job.rest()
+    if job.ids.head(1):
+        for k in range(ROUNDS):
+            job.star(k)
+        job.rest()
     return job.result()
 
 
