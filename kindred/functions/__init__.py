@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 # The vocabularies that results depend on.
 STOPWORDS = ("a", "as", "com", "da", "das", "de", "do", "dos", "e", "em", "o", "os", "para", "por", "sem", "um", "uma")
-GENERIC_BRANDS = ("generico", "generic", "sem marca", "semmarca", "na", "none")
+GENERIC_BRANDS = ("", "generic", "generico", "genérico")
+SPEC_KEYS = {"asin": ("asin",), "ean": ("ean", "codigo ean"), "gtin": ("gtin",), "upc": ("upc",)}
+ID_PATTERNS = {"asin": r"(?i)\bB0[A-Z0-9]{8}\b", "ean": r"\b\d{13}\b", "upc": r"\b\d{12}\b"}
 #: Accented Latin letters and their base letters, one for one.
 ACCENTS = ("áàâãäåéèêëíìîïóòôõöúùûüçñýÿ", "aaaaaaeeeeiiiiooooouuuucnyy")
 SIZE = r"(\d+(?:[.,]\d+)?)\s*(fl\s*oz|ml|kg|oz|l|g)\b"
@@ -51,6 +53,15 @@ def pack_count(text: Column) -> Column:
     return F.when(n > 1, n)
 
 
+def identifier(name: str, specs: Column, haystack: Column) -> Column:
+    """An id of SPEC_KEYS: its last value among the specs' top-level keys, else the first hit of its pattern, else empty."""
+    entries = F.map_entries(F.from_json(specs, "map<string,string>"))
+    named = F.filter(entries, lambda e: normalize_text(e["key"]).isin(*SPEC_KEYS[name]) & (e["value"] != ""))
+    value = F.try_element_at(F.transform(named, lambda e: normalize_text(e["value"])), F.lit(-1))
+    found = normalize_text(F.regexp_extract(haystack, ID_PATTERNS[name], 0)) if name in ID_PATTERNS else F.lit("")
+    return F.coalesce(value, found)
+
+
 def model_tokens(text: Column) -> Column:
     """Sorted distinct tokens of letters and digits that are not sizes."""
     tokens = F.split(normalize_text(text), " ")

@@ -14,7 +14,7 @@ def products(raw: DataFrame) -> DataFrame:
         F.col("id").alias("source_id"), "retailer", F.col("prod_name").alias("name_raw"), F.col("brand").alias("brand_raw"), "dimension", "label", K.normalize_text(F.col("prod_name")).alias("name_norm"), K.normalize_brand(F.col("brand")).alias("brand_norm"),
         F.array_join(path, ">").alias("category_norm"), F.coalesce(F.try_element_at(path, F.lit(-1)), F.lit("")).alias("category_leaf"), K.price_cents(F.col("price")).alias("price_cents"),
         hits.alias("_hits"), K.pack_count(text).alias("pack_count"), K.model_tokens(F.col("prod_name")).alias("model_tokens"), K.normalize_text(F.col("sku")).alias("sku"),
-        F.coalesce(F.get_json_object("specs", "$.EAN"), F.lit("")).alias("ean"), K.canonical_url(F.col("url")).alias("canonical_url"), F.col("specs"))
+        *[K.identifier(k, F.col("specs"), F.concat_ws(" ", "sku", "url", "prod_name", "dimension", "specs", "description")).alias(k) for k in K.SPEC_KEYS], F.col("category").alias("category_raw"), K.canonical_url(F.col("url")).alias("canonical_url"), F.col("specs"))
     first = F.get("_hits", F.lit(0))
     distinct = F.size(F.array_distinct(F.transform("_hits", lambda h: F.struct(F.round(h["value"], 2), h["unit"]))))
     return df.withColumns({"size_value": first["value"], "size_unit": first["unit"], "size_ambiguous": distinct > 1}).drop("_hits")
@@ -24,15 +24,15 @@ def quality_flags(p: DataFrame) -> DataFrame:
     """source_id and the ordered flags of each product."""
     flag = lambda name, cond: F.when(cond, F.lit(name))
     return p.select("source_id", F.array_compact(F.array(
-        flag("missing_brand", F.col("brand_norm") == ""), flag("generic_brand", F.col("brand_norm").isin(*K.GENERIC_BRANDS)), flag("missing_category", F.col("category_norm") == ""),
+        flag("missing_brand", F.col("brand_norm") == ""), flag("generic_brand", F.col("brand_norm").isin(*K.GENERIC_BRANDS) & (F.col("brand_norm") != "")), flag("missing_category", F.col("category_norm") == ""),
         flag("missing_price", F.col("price_cents").isNull()), flag("suspicious_price", F.col("price_cents") <= 0), flag("title_too_short", F.size(F.split("name_norm", " ")) <= 1),
-        flag("missing_identifier", (F.col("sku") == "") & (F.col("ean") == "")))).alias("flags"))
+        flag("missing_identifier", F.concat("sku", *K.SPEC_KEYS) == ""))).alias("flags"))
 
 
 def exact_keys(p: DataFrame) -> DataFrame:
     """(source_id, key_type, key_value): global ids, the retailer's sku, the canonical url."""
     key = lambda t, v: F.struct(t.alias("key_type"), v.alias("key_value"))
-    keys = F.array(key(F.lit("ean"), F.col("ean")), key(F.concat(F.lit("retailer_sku:"), F.lower("retailer")), F.when(F.col("retailer") != "", F.col("sku")).otherwise("")), key(F.lit("canonical_url"), F.col("canonical_url")))
+    keys = F.array(*[key(F.lit(k), F.col(k)) for k in ("ean", "gtin", "upc", "asin")], key(F.concat(F.lit("retailer_sku:"), F.lower("retailer")), F.when(F.col("retailer") != "", F.col("sku")).otherwise("")), key(F.lit("canonical_url"), F.col("canonical_url")))
     return p.select("source_id", F.explode(F.filter(keys, lambda k: k["key_value"] != "")).alias("k")).select("source_id", "k.*")
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from kindred import operators as O
+from kindred.operators import clusters, features
 from kindred.sources import OFFERS_SQL, offers
 
 UP, LOW = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿ", "aaaaaaeeeeiiiiooooouuuucnyy"
@@ -30,6 +31,36 @@ def _trigram(s, d):
     return O.trigram_pairs(_p(s, d))
 
 
+def _pairs(p):
+    return O.pair_blocks(O.exact_pairs(p), O.evidence(O.trigram_pairs(p), "trigram:title"))
+
+
+def _written(s, d):
+    """The products as a table: they are read many times over by pairs, features and clusters."""
+    return clusters.written(_p(s, d))
+
+
+def _features(p):
+    return features.pair_features(_pairs(p), p)
+
+
+def _clusters(p):
+    """Rule-certain and strong pairs without a hard contradiction, merged under the guard."""
+    sure = _features(p).where(F.col("certainty").isin("CERTAIN_MATCH", "STRONG_MATCH") & ~features.hard_contradiction())
+    return clusters.guarded(p, sure.select("i", "j", F.lit(1.0).alias("score")))
+
+
+def _plain(p):
+    return features.pair_features(O.pair_blocks(O.exact_pairs(p)), p).select("i", "j", *[F.round(c, 6).alias(c) for c in PLAIN])
+
+
+def _records(p):
+    return clusters.cluster_records(p, clusters.written(_clusters(p)))
+
+
+#: The features whose SQL is short, held against the oracle; the string kernels have brute-force tests.
+PLAIN = ("same_retailer", "brand_exact", "size_match", "size_conflict", "pack_match", "pack_conflict", "price_ratio_diff", "exact_ean", "exact_key_count", "exact_evidence_strength", "exact_sku_cross_retailer")
+
 Q = {
     "normalize_text": (lambda s, d: _p(s, d).select("source_id", "name_norm", "brand_norm"), BASE + "SELECT source_id, name_norm, brand_norm FROM n"),
     "parse_price": (lambda s, d: _p(s, d).select("source_id", F.col("price_cents").cast("long").alias("price_cents")), BASE + "SELECT source_id, price_cents FROM n"),
@@ -48,7 +79,7 @@ Q = {
 WITH s AS (SELECT a.vec_id AS i, b.vec_id AS j, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id),
 t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY i ORDER BY s DESC, j) <= 25)
 SELECT least(i, j) AS i, greatest(i, j) AS j, round(max(s), 4) AS score FROM t WHERE s >= 0.30 GROUP BY 1, 2"""),
-    "pair_merge": (lambda s, d: O.pair_blocks(O.exact_pairs(_p(s, d)), O.evidence(_trigram(s, d), "trigram:title")),
+    "pair_merge": (lambda s, d: _pairs(_written(s, d)),
                    BASE + "SELECT i, j, array_to_string(list_sort(list_distinct(list(evidence))), '|') AS evidence FROM (SELECT * FROM xp UNION ALL SELECT i, j, 'trigram:title:' || printf('%.4f', score) FROM tp) GROUP BY i, j"),
     "confidence_histogram": (lambda s, d: _trigram(s, d).groupBy(O.confidence_bucket(F.col("score")).alias("bucket")).agg(F.count("*").alias("n")),
                              BASE + "SELECT CASE WHEN score >= 0.95 THEN '>=0.95' WHEN score >= 0.90 THEN '0.90-0.95' WHEN score >= 0.86 THEN '0.86-0.90' WHEN score >= 0.70 THEN '0.70-0.86' ELSE '<0.70' END AS bucket, count(*) AS n FROM tp GROUP BY 1"),
@@ -56,6 +87,19 @@ SELECT least(i, j) AS i, greatest(i, j) AS j, round(max(s), 4) AS score FROM t W
                        BASE + """, e AS (SELECT score >= 0.84 AS hit, a.label = b.label AS same FROM tp JOIN n a ON a.source_id = i JOIN n b ON b.source_id = j),
 c AS (SELECT count(*) FILTER (hit AND same) AS tp, count(*) FILTER (hit AND NOT same) AS fp, count(*) FILTER (NOT hit AND same) AS fn, count(*) FILTER (NOT hit AND NOT same) AS tn FROM e)
 SELECT *, round(tp / nullif(tp + fp, 0), 6) AS precision, round(tp / nullif(tp + fn, 0), 6) AS recall FROM c"""),
+    "pair_features": (lambda s, d: _features(_written(s, d)), None),
+    "pair_features_plain": (lambda s, d: _plain(_written(s, d)), BASE + """, t AS (
+SELECT i, j, count(DISTINCT split_part(evidence, ':', 2)) AS k, bool_or(evidence LIKE 'exact:ean:%') AS e, bool_or(evidence LIKE 'exact:retailer_sku%') AS s FROM xp GROUP BY i, j),
+f AS (SELECT i, j, k, e, s, a.retailer = b.retailer AS sr, a.brand_norm <> '' AND a.brand_norm = b.brand_norm AS be, a.price_cents AS x, b.price_cents AS y, a.ean <> '' AND a.ean = b.ean AS ee, a.sku <> '' AND a.sku = b.sku AND a.retailer <> b.retailer AS sx,
+  regexp_extract(a.dimension, '([0-9]+)ml', 1)::DOUBLE AS u, regexp_extract(b.dimension, '([0-9]+)ml', 1)::DOUBLE AS v, a.name_norm LIKE '%2 unidades%' AS p, b.name_norm LIKE '%2 unidades%' AS q FROM t JOIN n a ON a.source_id = i JOIN n b ON b.source_id = j)
+SELECT i, j, sr::INT::DOUBLE AS same_retailer, be::INT::DOUBLE AS brand_exact, (abs(u - v) <= greatest(0.08 * greatest(u, v), 1))::INT::DOUBLE AS size_match, (abs(u - v) > greatest(0.08 * greatest(u, v), 1))::INT::DOUBLE AS size_conflict,
+  (p AND q)::INT::DOUBLE AS pack_match, 0.0::DOUBLE AS pack_conflict, round(CASE WHEN x > 0 AND y > 0 THEN abs(x - y)::DOUBLE / greatest(x, y) ELSE 1 END, 6) AS price_ratio_diff, ee::INT::DOUBLE AS exact_ean, k::DOUBLE AS exact_key_count,
+  CASE WHEN e THEN 1.0 WHEN s THEN 0.88 ELSE 0.86 END::DOUBLE AS exact_evidence_strength, sx::INT::DOUBLE AS exact_sku_cross_retailer FROM f"""),
+    "rule_chain": (lambda s, d: _features(_written(s, d)).groupBy("certainty", "reason").agg(F.count("*").alias("n")), None),
+    "exact_components": (lambda s, d: clusters.components(O.exact_pairs(_p(s, d))), BASE.replace("WITH o", "WITH RECURSIVE o") + """, u AS (SELECT DISTINCT i, j FROM xp UNION SELECT j, i FROM xp),
+r(node, other) AS (SELECT i, i FROM u UNION SELECT r.node, u.j FROM r JOIN u ON r.other = u.i) SELECT node, min(other) AS root FROM r GROUP BY node"""),
+    "guarded_clusters": (lambda s, d: _clusters(_written(s, d)), None),
+    "cluster_records": (lambda s, d: _records(_written(s, d)), None),
 }
 QUERIES = {k: f for k, (f, _) in Q.items()}
 ORACLE_SQL = {k: sql for k, (_, sql) in Q.items() if sql}
