@@ -94,7 +94,7 @@ def evidence(pairs: DataFrame, layer: str) -> DataFrame:
 
 
 def confidence_bucket(score):
-    return F.when(score >= 0.95, ">=0.95").when(score >= 0.90, "0.90-0.95").when(score >= 0.86, "0.86-0.90").when(score >= 0.70, "0.70-0.86").otherwise("<0.70")
+    return F.when(score >= 0.95, "0.95-1.00").when(score >= 0.90, "0.90-0.95").when(score >= 0.86, "0.86-0.90").when(score >= 0.70, "0.70-0.86").otherwise("<0.70")
 
 
 def confusion(pairs: DataFrame, p: DataFrame, threshold: float) -> DataFrame:
@@ -104,3 +104,25 @@ def confusion(pairs: DataFrame, p: DataFrame, threshold: float) -> DataFrame:
     hit, same = F.col("score") >= threshold, F.col("x") == F.col("y")
     c = both.agg(F.count_if(hit & same).alias("tp"), F.count_if(hit & ~same).alias("fp"), F.count_if(~hit & same).alias("fn"), F.count_if(~hit & ~same).alias("tn"))
     return c.withColumns({"precision": F.round(F.try_divide("tp", F.col("tp") + F.col("fp")), 6), "recall": F.round(F.try_divide("tp", F.col("tp") + F.col("fn")), 6)})
+
+
+# The thresholds that reports show.
+SCORE_STEPS = (0.90, 0.88, 0.86, 0.84, 0.82, 0.80, 0.78, 0.75, 0.70)
+MODEL_STEPS = (0.99, 0.97, 0.95, 0.90, 0.88, 0.86, 0.84, 0.82, 0.80, 0.78, 0.75, 0.70)
+
+
+def sensitivity(pairs: DataFrame, by: str = "score", steps: tuple = SCORE_STEPS) -> DataFrame:
+    """(threshold, n): how many pairs reach each step, in one pass; pairs whose explanation holds a penalty do not count."""
+    fine = pairs.where(~F.contains(F.coalesce("explanation", F.lit("")), F.lit("penalty:"))) if "explanation" in pairs.columns else pairs
+    counts = fine.agg(*[F.count_if(F.col(by) >= t).alias(f"{t:.2f}") for t in steps])
+    return counts.unpivot([], [f"`{t:.2f}`" for t in steps], "threshold", "n")
+
+
+def largest_groups(records: DataFrame, limit: int = 10) -> DataFrame:
+    """The clusters with most offers, ties by id."""
+    return records.orderBy(F.desc("num_offers"), "dedupe_id").limit(limit).select("dedupe_id", "canonical_name", "num_offers", "retailers", F.round("cluster_confidence", 4).alias("cluster_confidence"), F.slice("source_ids", 1, 10).alias("source_ids"))
+
+
+def least_confident_groups(records: DataFrame, limit: int = 10) -> DataFrame:
+    """Of the clusters with several offers, those with the lowest confidence, ties by id."""
+    return records.where("num_offers > 1").orderBy("cluster_confidence", "dedupe_id").limit(limit).select("dedupe_id", "canonical_name", "num_offers", F.round("cluster_confidence", 4).alias("cluster_confidence"), F.slice("source_ids", 1, 10).alias("source_ids"))

@@ -82,7 +82,7 @@ SELECT least(i, j) AS i, greatest(i, j) AS j, round(max(s), 4) AS score FROM t W
     "pair_merge": (lambda s, d: _pairs(_written(s, d)),
                    BASE + "SELECT i, j, array_to_string(list_sort(list_distinct(list(evidence))), '|') AS evidence FROM (SELECT * FROM xp UNION ALL SELECT i, j, 'trigram:title:' || printf('%.4f', score) FROM tp) GROUP BY i, j"),
     "confidence_histogram": (lambda s, d: _trigram(s, d).groupBy(O.confidence_bucket(F.col("score")).alias("bucket")).agg(F.count("*").alias("n")),
-                             BASE + "SELECT CASE WHEN score >= 0.95 THEN '>=0.95' WHEN score >= 0.90 THEN '0.90-0.95' WHEN score >= 0.86 THEN '0.86-0.90' WHEN score >= 0.70 THEN '0.70-0.86' ELSE '<0.70' END AS bucket, count(*) AS n FROM tp GROUP BY 1"),
+                             BASE + "SELECT CASE WHEN score >= 0.95 THEN '0.95-1.00' WHEN score >= 0.90 THEN '0.90-0.95' WHEN score >= 0.86 THEN '0.86-0.90' WHEN score >= 0.70 THEN '0.70-0.86' ELSE '<0.70' END AS bucket, count(*) AS n FROM tp GROUP BY 1"),
     "eval_confusion": (lambda s, d: O.confusion(_trigram(s, d), _p(s, d), 0.84),
                        BASE + """, e AS (SELECT score >= 0.84 AS hit, a.label = b.label AS same FROM tp JOIN n a ON a.source_id = i JOIN n b ON b.source_id = j),
 c AS (SELECT count(*) FILTER (hit AND same) AS tp, count(*) FILTER (hit AND NOT same) AS fp, count(*) FILTER (NOT hit AND same) AS fn, count(*) FILTER (NOT hit AND NOT same) AS tn FROM e)
@@ -100,6 +100,9 @@ SELECT i, j, sr::INT::DOUBLE AS same_retailer, be::INT::DOUBLE AS brand_exact, (
 r(node, other) AS (SELECT i, i FROM u UNION SELECT r.node, u.j FROM r JOIN u ON r.other = u.i) SELECT node, min(other) AS root FROM r GROUP BY node"""),
     "guarded_clusters": (lambda s, d: _clusters(_written(s, d)), None),
     "cluster_records": (lambda s, d: _records(_written(s, d)), None),
+    "threshold_sensitivity": (lambda s, d: O.sensitivity(_trigram(s, d)), BASE + "SELECT printf('%.2f', t) AS threshold, (SELECT count(*) FROM tp WHERE score >= t) AS n FROM (VALUES (0.90::DOUBLE), (0.88), (0.86), (0.84), (0.82), (0.80), (0.78), (0.75), (0.70)) v(t)"),
+    "largest_groups": (lambda s, d: O.largest_groups(_records(_written(s, d))), None),
+    "least_confident_groups": (lambda s, d: O.least_confident_groups(_records(_written(s, d))), None),
 }
 QUERIES = {k: f for k, (f, _) in Q.items()}
 ORACLE_SQL = {k: sql for k, (_, sql) in Q.items() if sql}
