@@ -17,6 +17,8 @@ WORD = f"[^{WS}]+"
 
 #: A table is broadcast only when a count of it proved at most this many rows.
 BROADCAST_ROWS = 200_000
+#: Narrow rows (ids, links, keys) that make a file of their own worth its while.
+FILE_ROWS = 250_000
 
 
 def text_of(text: Column) -> Column:
@@ -47,12 +49,20 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{workdir(spark)}/kindred-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back.
 
-    The written table cuts the lineage, and outlives any executor.
+    The written table cuts the lineage, and outlives any executor.  Where its
+    rows are known to be at most `rows`, and these fill fewer files of
+    FILE_ROWS than a shuffle has partitions, they are dealt evenly into as many
+    files, at least one for each core: small tables stay free of tiny files.
     """
-    path = new_folder(df.sparkSession, name)
+    spark = df.sparkSession
+    if rows is not None:
+        files = max(spark.sparkContext.defaultParallelism, -(-rows // FILE_ROWS))
+        if files < int(spark.conf.get("spark.sql.shuffle.partitions")):
+            df = df.repartition(files)
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

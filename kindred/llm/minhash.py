@@ -88,22 +88,28 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each half-step is one aggregate and one join on the node; neighbour lists are never gathered.
     """
-    edges = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
-    state = None
-    while edges.head(1):
+    edges = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges", edges.count())
+    n = edges.count()
+    if not n:
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = materialize(large, "large-star")
+        large = materialize(large, "large-star", 2 * n)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = materialize(small.where("u <> v").distinct(), "small-star")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head())
-        if now == state:
-            roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-            return materialize(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots), "components")
-        state = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        edges = materialize(small.where("u <> v").distinct(), "small-star", 4 * n)
+        n = edges.count()
+    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return materialize(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots), "components", 2 * n)
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node of edges (u, v), v < u, is either a root, with no edge downwards, or has one edge, to a root."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    per = ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return per.agg(F.count_if(F.expr("down > 1 OR down = 1 AND up = 1"))).head()[0] == 0
 
 
 class _Job:
@@ -116,17 +122,18 @@ class _Job:
         p = (1 - s) / 2
         self.most_bits = math.ceil(SKETCH * p + SIGMAS * math.sqrt(SKETCH * p * (1 - p)))
         self.rows = materialize(signatures(docs, width, s, id_col, text_col), "signatures")
+        n, bands = self.rows.count(), shingles.bands_for(s, ROWS)
         full = self.rows.where("same IS NOT NULL AND id IS NOT NULL")
-        self.copies = materialize(full.groupBy("same").agg(F.min("id").alias("rep"), F.count("*").alias("k")).where("k > 1").select("same", "rep"), "equal-sets")
+        self.copies = materialize(full.groupBy("same").agg(F.min("id").alias("rep"), F.count("*").alias("k")).where("k > 1").select("same", "rep"), "equal-sets", n)
         reps = sized_join(full, self.copies, "same", "left").where("rep IS NULL OR rep = id")
         keys = reps.select("id", "n", F.explode("bands").alias("key"))
         shared = keys.groupBy("key").agg(F.count("*").alias("m"), F.min("id").alias("first")).where("m > 1")
-        shared = materialize(shared, "buckets")
+        shared = materialize(shared, "buckets", n * bands)
         members = sized_join(reps.select("id", "n", "sketch", "bands", F.posexplode("bands").alias("band", "key")), shared.select("key", "m"), "key", "inner")
         self.members = materialize(members, "members")
-        ids = materialize(self.members.select("id").distinct(), "candidates")
+        ids = materialize(self.members.select("id").distinct(), "candidates", n)
+        self.n = self.members.count()
         self.links = None
-        self.sets = None
         self.ids = ids
 
     def _comp(self) -> DataFrame:
@@ -142,44 +149,47 @@ class _Job:
         apart = sum((F.bit_count(F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])) for i in range(SKETCH // 64)), F.lit(0))
         return (100 * F.least(x, y) >= self.percent * F.greatest(x, y)) & (apart <= self.most_bits)
 
-    def _add(self, links: DataFrame) -> None:
-        self.links = materialize(links if self.links is None else self.links.unionByName(links), "links")
+    def _add(self, links: DataFrame, most: int | None) -> None:
+        """Add links, at most `most` where that is known."""
+        known = 0 if self.links is None else self.links.count()
+        self.links = materialize(self.links.unionByName(links) if known else links, "links", None if most is None else known + most)
 
-    def _verify(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b) that are linked, by their full sets."""
-        pairs = materialize(pairs, name)
-        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), f"{name}-ids")
+    def _verify(self, pairs: DataFrame, name: str, most: int | None = None) -> None:
+        """Add those of the pairs (a, b) that are linked, by their full sets."""
+        pairs = materialize(pairs, name, most)
+        n = pairs.count()
+        ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), f"{name}-ids", 2 * n)
         sets = materialize(sets_of(self.docs, ids, self.width, self.id_col, self.text_col), f"{name}-sets")
         one = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("s")), "a")
         two = one.join(sets.select(F.col("id").alias("b"), F.col("set").alias("t")), "b")
-        return two.where(linked(F.size(F.array_intersect("s", "t")), F.size("s"), F.size("t"), self.percent)).select("a", "b").distinct()
+        self._add(two.where(linked(F.size(F.array_intersect("s", "t")), F.size("s"), F.size("t"), self.percent)).select("a", "b").distinct(), n)
 
     def star(self, round_: int) -> None:
         members = materialize(self._comp(), f"round-{round_}")
         several = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct((F.xxhash64("id", F.lit(round_)) if round_ else F.col("id")).alias("order"), F.col("id").alias("node")))["node"].alias("centre")).where("lo <> hi")
-        centre = materialize(several.select("key", F.col("centre").alias("id")), "centres")
-        centre = materialize(sized_join(members, centre, ["key", "id"], "left_semi").select("key", "id", "n", "sketch", "comp").dropDuplicates(["key"]), "centre-rows")
+        centre = materialize(several.select("key", F.col("centre").alias("id")), "centres", self.n)
+        centre = materialize(sized_join(members, centre, ["key", "id"], "left_semi").select("key", "id", "n", "sketch", "comp").dropDuplicates(["key"]), "centre-rows", self.n)
         a, b = members.alias("a"), centre.alias("b")
         pairs = sized_join(a, b, (F.col("a.key") == F.col("b.key")) & (F.col("a.comp") != F.col("b.comp")) & self._may("a", "b"), "inner")
         pairs = pairs.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
-        self._add(self._verify(pairs, f"star-{round_}"))
+        self._verify(pairs, f"star-{round_}", self.n)
 
     def rest(self) -> None:
         members = materialize(self._comp(), "rest")
-        open_ = materialize(members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "open-buckets")
+        open_ = materialize(members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "open-buckets", self.n)
         left = materialize(sized_join(members, open_, "key", "left_semi"), "open-members")
         a, b = (left.where(F.col("m") <= SMALL).alias(x) for x in "ab")
         shares = F.arrays_zip(F.col("a.bands").alias("x"), F.col("b.bands").alias("y"))
         before = F.exists(F.slice(shares, 1, F.col("a.band")), lambda z: z["x"] == z["y"])
         pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & (F.col("a.comp") != F.col("b.comp")) & self._may("a", "b") & ~before)
-        self._add(self._verify(pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "rest-pairs"))
+        self._verify(pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "rest-pairs")
         large = left.where(F.col("m") > SMALL)
         if large.head(1):
-            self._add(self._blocks(large))
+            self._add(self._blocks(large), None)
 
     def _blocks(self, large: DataFrame) -> DataFrame:
         """Links between components within large buckets, by pairs of blocks."""
-        ids = materialize(large.select("id").distinct(), "block-ids")
+        ids = materialize(large.select("id").distinct(), "block-ids", self.n)
         sets = materialize(sets_of(self.docs, ids, self.width, self.id_col, self.text_col), "block-sets")
         n = F.ceil(F.col("m") / BLOCK).cast("int")
         mine = F.pmod(F.xxhash64("id", F.lit(7)), n).cast("int")
