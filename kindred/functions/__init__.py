@@ -87,6 +87,26 @@ def jaccard(a: Column, b: Column) -> Column:
     return n / (F.size(a) + F.size(b) - n)
 
 
-def cosine(a: Column, b: Column) -> Column:
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+#: Bits of a gram set's sketch, as words of 64.
+SKETCH_WORDS = 4
+
+
+def gram_bits(grams: Column) -> Column:
+    """A bit map of a set: each element sets the bit its hash names."""
+    places = F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(64 * SKETCH_WORDS)))
+    word = lambda k: F.aggregate(F.filter(places, lambda h: F.floor(h / 64) == k), F.lit(0).cast("long"), lambda s, h: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (h % 64).cast("int"))))
+    return F.array(*[word(k) for k in range(SKETCH_WORDS)])
+
+
+def may_reach(a: Column, n: Column, b: Column, m: Column, least: float) -> Column:
+    """Whether sets of n and m elements with bit maps a and b can have a Jaccard similarity of `least`; never false when they do.
+
+    A bit of one map that the other lacks stands for an element that isn't shared.
+    """
+    alone = lambda x, y: sum((F.bit_count(x[k].bitwiseAND(F.bitwise_not(y[k]))) for k in range(SKETCH_WORDS)), F.lit(0))
+    shared = F.least(n - alone(a, b), m - alone(b, a))
+    return shared >= least * (n + m - shared) - 1e-9
+
+
+def dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)

@@ -50,14 +50,18 @@ def _top(pairs: DataFrame, by: str, k: int) -> DataFrame:
 
 
 def trigram_pairs(p: DataFrame, k: int = 25, least: float = 0.55, max_block: int | None = None) -> DataFrame:
-    """Top-k trigram neighbours within a brand; blocks over max_block are left out."""
+    """Top-k trigram neighbours within a brand; blocks over max_block are left out.
+
+    Bit maps of the gram sets rule most pairs out before any sets are compared.
+    """
     slim = p.where("brand_norm <> '' AND name_norm <> ''").select("source_id", "brand_norm", F.length("name_norm").alias("len"), K.trigrams(F.col("name_norm")).alias("grams"))
+    slim = slim.withColumns({"n": F.size("grams"), "bits": K.gram_bits(F.col("grams"))})
     left = slim
     if max_block is not None:
         ok = p.groupBy("brand_norm").agg(F.count("*").alias("n")).where(F.col("n") <= max_block).select("brand_norm")
         left = slim.join(ok, "brand_norm", "left_semi")
     a, b = left.alias("a"), slim.alias("b")
-    near = a.join(b, (F.col("a.brand_norm") == F.col("b.brand_norm")) & (F.col("a.source_id") < F.col("b.source_id")) & (F.abs(F.col("a.len") - F.col("b.len")) <= 24))
+    near = a.join(b, (F.col("a.brand_norm") == F.col("b.brand_norm")) & (F.col("a.source_id") < F.col("b.source_id")) & (F.abs(F.col("a.len") - F.col("b.len")) <= 24) & K.may_reach(F.col("a.bits"), F.col("a.n"), F.col("b.bits"), F.col("b.n"), least))
     scored = near.select(F.col("a.source_id").alias("i"), F.col("b.source_id").alias("j"), K.jaccard(F.col("a.grams"), F.col("b.grams")).alias("score"))
     return _top(scored.where(F.col("score") >= least), "score", k).select("i", "j", F.round("score", 4).alias("score"))
 
@@ -73,10 +77,10 @@ def lexical_pairs(p: DataFrame, k: int = 25) -> DataFrame:
 
 def vector_pairs(vectors: DataFrame, k: int = 25, least: float = 0.30) -> DataFrame:
     """Exact cosine neighbours within a label block: top k of each vector, unordered pairs by their best similarity."""
-    v = vectors.select("vec_id", "label", "embedding")
+    v = vectors.select("vec_id", "label", "embedding", F.sqrt(K.dot(F.col("embedding"), F.col("embedding"))).alias("norm"))
     a, b = v.alias("a"), v.alias("b")
     near = a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.vec_id") != F.col("b.vec_id")))
-    scored = near.select(F.col("a.vec_id").alias("i"), F.col("b.vec_id").alias("j"), K.cosine(F.col("a.embedding"), F.col("b.embedding")).alias("score"))
+    scored = near.select(F.col("a.vec_id").alias("i"), F.col("b.vec_id").alias("j"), (K.dot(F.col("a.embedding"), F.col("b.embedding")) / (F.col("a.norm") * F.col("b.norm"))).alias("score"))
     best = _top(scored, "score", k).where(F.col("score") >= least)
     return best.groupBy(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).agg(F.round(F.max("score"), 4).alias("score"))
 
