@@ -49,10 +49,16 @@ def _top(pairs: DataFrame, by: str, k: int) -> DataFrame:
     return pairs.withColumn("rn", rank).where(F.col("rn") <= k).drop("rn")
 
 
+SALTS = 8
+
+
 def trigram_pairs(p: DataFrame, k: int = 25, least: float = 0.55, max_block: int | None = None) -> DataFrame:
     """Top-k trigram neighbours within a brand; blocks over max_block are left out.
 
     Bit maps of the gram sets rule most pairs out before any sets are compared.
+    A brand's left rows are dealt to SALTS tasks, each of which sees all its
+    right rows: the work grows with pairs, so partitions must not be merged or
+    left whole by their bytes.
     """
     slim = p.where("brand_norm <> '' AND name_norm <> ''").select("source_id", "brand_norm", F.length("name_norm").alias("len"), K.trigrams(F.col("name_norm")).alias("grams"))
     slim = slim.withColumns({"n": F.size("grams"), "bits": K.gram_bits(F.col("grams"))})
@@ -60,8 +66,10 @@ def trigram_pairs(p: DataFrame, k: int = 25, least: float = 0.55, max_block: int
     if max_block is not None:
         ok = p.groupBy("brand_norm").agg(F.count("*").alias("n")).where(F.col("n") <= max_block).select("brand_norm")
         left = slim.join(ok, "brand_norm", "left_semi")
-    a, b = left.alias("a"), slim.alias("b")
-    near = a.join(b, (F.col("a.brand_norm") == F.col("b.brand_norm")) & (F.col("a.source_id") < F.col("b.source_id")) & (F.abs(F.col("a.len") - F.col("b.len")) <= 24) & K.may_reach(F.col("a.bits"), F.col("a.n"), F.col("b.bits"), F.col("b.n"), least))
+    n = int(p.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a = left.withColumn("salt", F.pmod(F.xxhash64("source_id"), F.lit(SALTS)).cast("int")).repartition(n, "brand_norm", "salt").alias("a")
+    b = slim.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).repartition(n, "brand_norm", "salt").alias("b")
+    near = a.join(b.hint("merge"), (F.col("a.salt") == F.col("b.salt")) & (F.col("a.brand_norm") == F.col("b.brand_norm")) & (F.col("a.source_id") < F.col("b.source_id")) & (F.abs(F.col("a.len") - F.col("b.len")) <= 24) & K.may_reach(F.col("a.bits"), F.col("a.n"), F.col("b.bits"), F.col("b.n"), least))
     scored = near.select(F.col("a.source_id").alias("i"), F.col("b.source_id").alias("j"), K.jaccard(F.col("a.grams"), F.col("b.grams")).alias("score"))
     return _top(scored.where(F.col("score") >= least), "score", k).select("i", "j", F.round("score", 4).alias("score"))
 
