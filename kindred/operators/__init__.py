@@ -49,29 +49,44 @@ def _top(pairs: DataFrame, by: str, k: int) -> DataFrame:
     return pairs.withColumn("rn", rank).where(F.col("rn") <= k).drop("rn")
 
 
+def _expand(hits: DataFrame, left: DataFrame, right: DataFrame, k: int) -> DataFrame:
+    """The k best partners j > i of each i, from hits (brand_norm, x, y, score) between texts.
+
+    left holds (brand_norm, x, i) and right (brand_norm, y, j).  Of one y, the
+    k smallest ids behind i are enough, since ties go by j.
+    """
+    ids = right.groupBy("brand_norm", "y").agg(F.sort_array(F.collect_list("j")).alias("ids"))
+    behind = F.slice(F.filter("ids", lambda j: j > F.col("i")), 1, k)
+    pairs = hits.join(left, ["brand_norm", "x"]).join(ids, ["brand_norm", "y"]).select("i", F.explode(behind).alias("j"), "score")
+    return _top(pairs, "score", k).select("i", "j", F.round("score", 4).alias("score"))
+
+
 SALTS = 8
 
 
 def trigram_pairs(p: DataFrame, k: int = 25, least: float = 0.55, max_block: int | None = None) -> DataFrame:
     """Top-k trigram neighbours within a brand; blocks over max_block are left out.
 
-    Bit maps of the gram sets rule most pairs out before any sets are compared.
-    A brand's left rows are dealt to SALTS tasks, each of which sees all its
-    right rows: the work grows with pairs, so partitions must not be merged or
-    left whole by their bytes.
+    Each pair of distinct titles is compared once, then spread over the offers
+    that bear them.  Bit maps of the gram sets rule most pairs out before any
+    sets are compared.  A brand's left titles are dealt to SALTS tasks, each of
+    which sees all its right ones: the work grows with pairs, so partitions
+    must not be merged or left whole by their bytes.
     """
-    slim = p.where("brand_norm <> '' AND name_norm <> ''").select("source_id", "brand_norm", F.length("name_norm").alias("len"), K.trigrams(F.col("name_norm")).alias("grams"))
-    slim = slim.withColumns({"n": F.size("grams"), "bits": K.gram_bits(F.col("grams"))})
-    left = slim
+    named = p.where("brand_norm <> '' AND name_norm <> ''").select("source_id", "brand_norm", "name_norm")
     if max_block is not None:
         ok = p.groupBy("brand_norm").agg(F.count("*").alias("n")).where(F.col("n") <= max_block).select("brand_norm")
-        left = slim.join(ok, "brand_norm", "left_semi")
+        named = named.join(ok, "brand_norm", "left_semi")
+    names = named.select("brand_norm", "name_norm").distinct().withColumns({"len": F.length("name_norm"), "grams": K.trigrams(F.col("name_norm"))})
+    names = names.withColumns({"n": F.size("grams"), "bits": K.gram_bits(F.col("grams"))}).where("n > 0")
     n = int(p.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    a = left.withColumn("salt", F.pmod(F.xxhash64("source_id"), F.lit(SALTS)).cast("int")).repartition(n, "brand_norm", "salt").alias("a")
-    b = slim.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).repartition(n, "brand_norm", "salt").alias("b")
-    near = a.join(b.hint("merge"), (F.col("a.salt") == F.col("b.salt")) & (F.col("a.brand_norm") == F.col("b.brand_norm")) & (F.col("a.source_id") < F.col("b.source_id")) & (F.abs(F.col("a.len") - F.col("b.len")) <= 24) & K.may_reach(F.col("a.bits"), F.col("a.n"), F.col("b.bits"), F.col("b.n"), least))
-    scored = near.select(F.col("a.source_id").alias("i"), F.col("b.source_id").alias("j"), K.jaccard(F.col("a.grams"), F.col("b.grams")).alias("score"))
-    return _top(scored.where(F.col("score") >= least), "score", k).select("i", "j", F.round("score", 4).alias("score"))
+    a = names.withColumn("salt", F.pmod(F.xxhash64("name_norm"), F.lit(SALTS)).cast("int")).repartition(n, "brand_norm", "salt").alias("a")
+    b = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).repartition(n, "brand_norm", "salt").alias("b")
+    near = a.join(b.hint("merge"), (F.col("a.salt") == F.col("b.salt")) & (F.col("a.brand_norm") == F.col("b.brand_norm")) & (F.col("a.name_norm") <= F.col("b.name_norm")) & (F.abs(F.col("a.len") - F.col("b.len")) <= 24) & K.may_reach(F.col("a.bits"), F.col("a.n"), F.col("b.bits"), F.col("b.n"), least))
+    scored = near.select("a.brand_norm", F.col("a.name_norm").alias("v"), F.col("b.name_norm").alias("w"), K.jaccard(F.col("a.grams"), F.col("b.grams")).alias("score")).where(F.col("score") >= least)
+    way = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    hits = scored.select("brand_norm", "score", F.explode(F.array_distinct(F.array(way("v", "w"), way("w", "v")))).alias("e")).select("brand_norm", "e.*", "score")
+    return _expand(hits, named.select("brand_norm", F.col("name_norm").alias("x"), F.col("source_id").alias("i")), named.select("brand_norm", F.col("name_norm").alias("y"), F.col("source_id").alias("j")), k)
 
 
 def lexical_pairs(p: DataFrame, k: int = 25) -> DataFrame:

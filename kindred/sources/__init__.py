@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 RAW = ("id", "prod_name", "brand", "category", "description", "specs", "img_links", "url", "created_at", "updated_at", "retailer", "price", "sku", "dimension")
 
-#: One text for Spark and the oracle: supplier x part offers as raw rows, with noise by modulo.
+#: One text for Spark and the oracle: every supplier-part pair of lineitem as an offer in raw rows; spelling varies by modulo, no row is left out.
 OFFERS_SQL = """
 SELECT cast(l_partkey * 100000 + l_suppkey AS varchar(20)) AS id,
   p_name || ' ' || p_type || ' ' || cast(p_size AS varchar(9)) || CASE WHEN l_suppkey % 4 = 0 THEN ' ml' ELSE 'ml' END || CASE WHEN l_suppkey % 7 = 0 THEN ' kit com 2 unidades' ELSE '' END AS prod_name,
@@ -17,7 +17,7 @@ SELECT cast(l_partkey * 100000 + l_suppkey AS varchar(20)) AS id,
   cast(cast(round(p_retailprice * 100) AS bigint) + l_suppkey % 9 AS varchar(20)) AS price,
   CASE WHEN l_suppkey % 5 = 0 THEN '' ELSE 'SKU' || cast(l_partkey AS varchar(12)) END AS sku,
   cast(p_size AS varchar(9)) || 'ml' AS dimension, l_partkey AS label
-FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE (l_partkey + l_suppkey) % 10 = 0) k
+FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) k
 JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
 """
 

@@ -1,0 +1,31 @@
+from itertools import combinations
+import random
+
+from kindred import operators as O
+from kindred.sources import offers
+
+
+def test_every_supplier_part_pair_is_an_offer(spark, tmp_path):
+    pairs = [(p, s) for p in range(1, 8) for s in range(1, 5)]
+    spark.createDataFrame(pairs + pairs[:5], "l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(p, "blue tin", "SMALL BOX", 7, "Brand#1", 9.5) for p in range(1, 8)], "p_partkey long, p_name string, p_type string, p_size int, p_brand string, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(s, f"s{s}") for s in range(1, 5)], "s_suppkey long, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    assert sorted(r.id for r in offers(spark, str(tmp_path)).collect()) == sorted(str(p * 100000 + s) for p, s in pairs)
+
+
+def grams(text):
+    return {f"  {w} "[k:k + 3] for w in text.split() for k in range(len(w) + 1)}
+
+
+def test_trigram_pairs_against_all_pairs(spark):
+    rng = random.Random(7)
+    names = [" ".join(rng.choices(("azul", "verde", "creme", "gel"), k=3)) for _ in range(12)]
+    rows = [(f"{k:03d}", rng.choice(("x", "y", "")), rng.choice(names)) for k in range(150)]
+    p = spark.createDataFrame(rows, "source_id string, brand_norm string, name_norm string")
+    best = {}
+    for (i, b, m), (j, c, n) in combinations(rows, 2):
+        both = len(grams(m) & grams(n)) / len(grams(m) | grams(n))
+        if b == c != "" and both >= 0.55 and abs(len(m) - len(n)) <= 24:
+            best.setdefault(i, []).append((-both, j))
+    want = {(i, j, round(-s, 4)) for i, x in best.items() for s, j in sorted(x)[:4]}
+    assert {(r.i, r.j, r.score) for r in O.trigram_pairs(p, k=4).collect()} == want
