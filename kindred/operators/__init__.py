@@ -1,5 +1,7 @@
 """Entity-resolution operators as DataFrame compositions: products, keys, candidate joins, graph, reports."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,13 +100,52 @@ def lexical_pairs(p: DataFrame, k: int = 25) -> DataFrame:
     return _top(hit.select(F.col("a.source_id").alias("i"), F.col("b.source_id").alias("j"), F.round(F.size("a.q") / F.size("b.d"), 4).alias("score")), "score", k)
 
 
+#: Vectors of a block, about; two blocks are compared at a time.
+BLOCK_ROWS = 2048
+
+
+def _near_vectors(k: int, least: float):
+    """Of a pair of blocks (columns a, b, block, vec_id, embedding): the k best j of each i, both ways."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, block = table["vec_id"].to_numpy(), table["block"].to_numpy()
+        flat = table["embedding"].combine_chunks()
+        m = np.asarray(flat.flatten(), dtype=np.float64).reshape(len(ids), -1)
+        m /= np.sqrt((m * m).sum(1, keepdims=True))
+        first, second = table["a"][0].as_py(), table["b"][0].as_py()
+        out = []
+        for x, y in {(first, second), (second, first)}:
+            left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+            right = right[np.argsort(ids[right], kind="stable")]
+            for at in range(0, len(left), 256):
+                rows = left[at : at + 256]
+                s = (m[rows] @ m[right].T).round(12)  # what rounds alike is a tie, and goes by j
+                s[ids[rows][:, None] == ids[right]] = -2
+                hit = s >= least
+                for r in np.flatnonzero(hit.any(1)):
+                    js = np.flatnonzero(hit[r])
+                    js = js[np.argsort(-s[r, js], kind="stable")[:k]]
+                    out.append((np.full(len(js), ids[rows[r]]), ids[right[js]], s[r, js]))
+        i, j, score = (np.concatenate(x) for x in zip(*out)) if out else (ids[:0], ids[:0], np.zeros(0))
+        return pa.table({"i": pa.array(i, pa.int64()), "j": pa.array(j, pa.int64()), "score": pa.array(score, pa.float64())})
+
+    return run
+
+
 def vector_pairs(vectors: DataFrame, k: int = 25, least: float = 0.30) -> DataFrame:
-    """Exact cosine neighbours within a label block: top k of each vector, unordered pairs by their best similarity."""
-    v = vectors.select("vec_id", "label", "embedding", F.sqrt(K.dot(F.col("embedding"), F.col("embedding"))).alias("norm"))
-    a, b = v.alias("a"), v.alias("b")
-    near = a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.vec_id") != F.col("b.vec_id")))
-    scored = near.select(F.col("a.vec_id").alias("i"), F.col("b.vec_id").alias("j"), (K.dot(F.col("a.embedding"), F.col("b.embedding")) / (F.col("a.norm") * F.col("b.norm"))).alias("score"))
-    best = _top(scored, "score", k).where(F.col("score") >= least)
+    """Exact cosine neighbours among all vectors: top k of each, unordered pairs by their best similarity.
+
+    Rows are dealt to blocks by the hash of their id.  Each pair of blocks is a
+    group of its own that keeps k partners of a vector; the k best of these
+    are the k best of all.  Vectors that are null or of length 0 have no pairs.
+    """
+    v = vectors.where(K.dot(F.col("embedding"), F.col("embedding")) > 0).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    blocks = v.count() // BLOCK_ROWS + 1
+    v = v.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    dealt = v.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "vec_id", "embedding")
+    n = max(int(v.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(200, blocks * (blocks + 1) // 2))
+    scored = dealt.repartition(n, "a", "b").groupBy("a", "b").applyInArrow(_near_vectors(k, least), "i long, j long, score double")
+    best = _top(scored, "score", k)
     return best.groupBy(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).agg(F.round(F.max("score"), 4).alias("score"))
 
 

@@ -1,0 +1,23 @@
+import numpy as np
+
+from kindred import operators as O
+
+
+def test_vector_pairs_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(O, "BLOCK_ROWS", 40)  # several blocks
+    m = np.random.default_rng(5).normal(size=(150, 6)).astype("float32")
+    m[100:130] = m[3]  # copies: more than k ties
+    m[140] = 0
+    rows = [(k, [float(x) for x in m[k]], k % 7) for k in range(150)] + [(150, None, 0)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    d = m.astype("float64")
+    with np.errstate(invalid="ignore"):
+        s = ((d @ d.T) / np.outer(np.linalg.norm(d, axis=1), np.linalg.norm(d, axis=1))).round(12)
+    want = {}
+    for i in range(150):
+        near = sorted((-s[i, j], j) for j in range(150) if j != i and s[i, j] >= 0.3)[:5]
+        want |= {(min(i, j), max(i, j)): round(-x, 4) for x, j in near}
+    got = {(r.i, r.j): r.score for r in O.vector_pairs(v, k=5).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    assert any(rows[i][2] != rows[j][2] for i, j in got)
