@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 # The vocabularies that results depend on.
 STOPWORDS = ("a", "as", "com", "da", "das", "de", "do", "dos", "e", "em", "o", "os", "para", "por", "sem", "um", "uma")
+#: Of the search query alone, whose list is another one.
+SEARCH_STOPWORDS = ("a", "as", "com", "da", "das", "de", "do", "dos", "e", "em", "for", "o", "of", "os", "para", "the", "with")
 GENERIC_BRANDS = ("", "generic", "generico", "genérico")
 SPEC_KEYS = {"asin": ("asin",), "ean": ("ean", "codigo ean"), "gtin": ("gtin",), "upc": ("upc",)}
 ID_PATTERNS = {"asin": r"(?i)\bB0[A-Z0-9]{8}\b", "ean": r"\b\d{13}\b", "upc": r"\b\d{12}\b"}
@@ -24,6 +26,12 @@ def normalize_brand(c: Column) -> Column:
     return F.regexp_replace(normalize_text(c), "[^a-z0-9]", "")
 
 
+def flat_text(c: Column) -> Column:
+    """The normalised keys and values of a JSON object, or of any other text as it stands; what is nested keeps its JSON escapes."""
+    pieces = F.transform(F.map_entries(F.from_json(c, "map<string,string>")), lambda e: F.concat_ws(" ", e["key"], e["value"]))
+    return normalize_text(F.coalesce(F.array_join(pieces, " "), c))
+
+
 def category_path(c: Column) -> Column:
     """The normalised parts of a category."""
     return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "[>›/|]+"), normalize_text), lambda x: x != "")

@@ -16,7 +16,7 @@ def products(raw: DataFrame) -> DataFrame:
         F.col("id").alias("source_id"), "retailer", F.col("prod_name").alias("name_raw"), F.col("brand").alias("brand_raw"), "dimension", "label", K.normalize_text(F.col("prod_name")).alias("name_norm"), K.normalize_brand(F.col("brand")).alias("brand_norm"),
         F.array_join(path, ">").alias("category_norm"), F.coalesce(F.try_element_at(path, F.lit(-1)), F.lit("")).alias("category_leaf"), K.price_cents(F.col("price")).alias("price_cents"),
         hits.alias("_hits"), K.pack_count(text).alias("pack_count"), K.model_tokens(F.col("prod_name")).alias("model_tokens"), K.normalize_text(F.col("sku")).alias("sku"),
-        *[K.identifier(k, F.col("specs"), F.concat_ws(" ", "sku", "url", "prod_name", "dimension", "specs", "description")).alias(k) for k in K.SPEC_KEYS], F.col("category").alias("category_raw"), K.canonical_url(F.col("url")).alias("canonical_url"), F.col("specs"))
+        *[K.identifier(k, F.col("specs"), F.concat_ws(" ", "sku", "url", "prod_name", "dimension", "specs", "description")).alias(k) for k in K.SPEC_KEYS], F.col("category").alias("category_raw"), K.canonical_url(F.col("url")).alias("canonical_url"), F.col("specs"), F.col("description"))
     first = F.get("_hits", F.lit(0))
     distinct = F.size(F.array_distinct(F.transform("_hits", lambda h: F.struct(F.round(h["value"], 2), h["unit"]))))
     return df.withColumns({"size_value": first["value"], "size_unit": first["unit"], "size_ambiguous": distinct > 1}).drop("_hits")
@@ -92,12 +92,23 @@ def trigram_pairs(p: DataFrame, k: int = 25, least: float = 0.55, max_block: int
 
 
 def lexical_pairs(p: DataFrame, k: int = 25) -> DataFrame:
-    """Products of one brand whose words hold all of i's query words; ranked by the share of j's words that match."""
-    tokens = lambda *c: F.array_distinct(F.filter(F.split(K.normalize_text(F.concat_ws(" ", *c)), " "), lambda x: x != ""))
-    slim = p.where("brand_norm <> ''").select("source_id", "brand_norm", tokens("name_norm", "dimension").alias("q"), tokens("name_norm", "category_norm").alias("d"))
-    a, b = slim.alias("a"), slim.alias("b")
-    hit = a.join(b, (F.col("a.brand_norm") == F.col("b.brand_norm")) & (F.col("a.source_id") < F.col("b.source_id")) & (F.size(F.array_except("a.q", "b.d")) == 0))
-    return _top(hit.select(F.col("a.source_id").alias("i"), F.col("b.source_id").alias("j"), F.round(F.size("a.q") / F.size("b.d"), 4).alias("score")), "score", k)
+    """Products of one brand whose words hold all of i's query words; ranked by the share of j's words that match.
+
+    The query is brand, the first eight informative title words, category leaf
+    and dimension; the document brand, title, category, specs and description.
+    Distinct queries meet distinct documents by their rarest word in the brand.
+    """
+    words = lambda *c: F.array_sort(F.array_distinct(F.filter(F.split(K.normalize_text(F.concat_ws(" ", *c)), "[^a-z0-9]+"), lambda x: x != "")))
+    title = F.slice(F.filter(F.split("name_norm", " "), lambda t: (F.length(t) > 2) & ~t.isin(*K.SEARCH_STOPWORDS)), 1, 8)
+    query, document = words("brand_norm", F.array_join(title, " "), "category_leaf", "dimension"), words("brand_norm", "name_norm", "category_norm", K.flat_text(F.col("specs")), K.flat_text(F.col("description")))
+    slim = p.where("brand_norm <> ''").select("source_id", "brand_norm", F.array_join(query, " ").alias("x"), F.array_join(document, " ").alias("y"))
+    docs = slim.select("brand_norm", "y").distinct().select("brand_norm", "y", F.split("y", " ").alias("d")).select("*", F.explode("d").alias("word"))
+    found = docs.groupBy("brand_norm", "word").agg(F.count("*").alias("n"))
+    asked = slim.select("brand_norm", "x").distinct().select("brand_norm", "x", F.explode(F.split("x", " ")).alias("word"))
+    rarest = asked.join(found, ["brand_norm", "word"], "left").groupBy("brand_norm", "x").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))["word"].alias("word"))
+    q = F.split("x", " ")
+    hits = rarest.join(docs, ["brand_norm", "word"]).where(F.size(F.array_except(q, "d")) == 0).select("brand_norm", "x", "y", (F.size(q) / F.size("d")).alias("score"))
+    return _expand(hits, slim.select("brand_norm", "x", F.col("source_id").alias("i")), slim.select("brand_norm", "y", F.col("source_id").alias("j")), k)
 
 
 #: Vectors of a block, about; two blocks are compared at a time.

@@ -74,7 +74,7 @@ Q = {
     "exact_pairs": (lambda s, d: O.exact_pairs(_p(s, d)), BASE + "SELECT * FROM xp"),
     "brand_sizes": (lambda s, d: _p(s, d).groupBy("brand_norm").agg(F.count("*").alias("n")), BASE + "SELECT brand_norm, count(*) AS n FROM n GROUP BY 1"),
     "trigram_pairs": (_trigram, BASE + "SELECT * FROM tp"),
-    "lexical_pairs": (lambda s, d: O.lexical_pairs(_p(s, d)), None),
+    "lexical_pairs": (lambda s, d: O.lexical_pairs(_written(s, d)), None),
     "vector_pairs": (lambda s, d: O.vector_pairs(s.read.parquet(f"{d}/embeddings.parquet")), """
 WITH s AS (SELECT a.vec_id AS i, b.vec_id AS j, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id),
 t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY i ORDER BY s DESC, j) <= 25)

@@ -1,0 +1,44 @@
+from itertools import permutations
+
+import pytest
+
+from kindred import functions as K
+from kindred import operators as O
+
+STOP = {"a", "as", "com", "da", "das", "de", "do", "dos", "e", "em", "for", "of", "o", "os", "para", "the", "with"}
+
+
+@pytest.mark.parametrize("text,want", [('{"EAN": "12", "Cor": "Azúl\\nMar"}', "ean 12 cor azul mar"), ("só texto", "so texto"), ("", ""), (None, "")])
+def test_flat_text(spark, text, want):
+    assert spark.createDataFrame([(text,)], "v string").select(K.flat_text(K.F.col("v")).alias("r")).head().r == want
+
+
+def test_lexical_pairs_against_all_pairs(spark):
+    rows = [
+        ("a", "x", "oleo de coco para cabelo 30 ml", "casa>oleo", "oleo", "30ml", "{}", ""),
+        ("b", "x", "oleo coco cabelo seco 30ml", "casa>oleo", "oleo", "30ml", "{}", ""),
+        ("c", "x", "oleo coco", "casa>oleo", "oleo", "30ml", '{"Tamanho": "30ml"}', "para cabelo"),
+        ("d", "x", "um dois tres quatro cinco seis sete oito nove dez onze", "casa>oleo", "oleo", "", "{}", ""),
+        ("e", "x", "dois tres quatro cinco seis sete oito nove dez um", "casa>oleo", "oleo", "", "{}", ""),
+        ("f", "x", "oleo coco cabelo 30ml", "casa>oleo", "oleo", "30ml", "{}", ""),
+        ("g", "y", "oleo coco cabelo 30ml", "casa>oleo", "oleo", "30ml", "{}", ""),
+        ("h", "", "oleo coco cabelo 30ml", "casa>oleo", "oleo", "30ml", "{}", ""),
+        ("i", "x", "oleo coco cabelo 30ml", "casa>oleo", "oleo", "30ml", "{}", ""),
+    ]
+    p = spark.createDataFrame(rows, "source_id string, brand_norm string, name_norm string, category_norm string, category_leaf string, dimension string, specs string, description string")
+
+    def query(r):
+        return {r[1], *[t for t in r[2].split() if len(t) > 2 and t not in STOP][:8], r[4], r[5]} - {""}
+
+    def document(r):
+        return {r[1], *r[2].split(), *r[3].split(">"), *"".join(c.lower() if c.isalnum() else " " for c in r[6]).split(), *r[7].split()} - {""}
+
+    want = {}
+    for m, n in permutations(rows, 2):
+        if m[0] < n[0] and m[1] == n[1] != "" and query(m) <= document(n):
+            want.setdefault(m[0], []).append((-len(query(m)) / len(document(n)), n[0]))
+    want = {(i, j, round(-s, 4)) for i, x in want.items() for s, j in sorted(x)[:2]}
+    assert {x[:2] for x in want} >= {("a", "f"), ("a", "i"), ("d", "e")}
+    assert {(r.i, r.j, r.score) for r in O.lexical_pairs(p, k=2).collect()} == want
+    every = {(r.i, r.j) for r in O.lexical_pairs(p).collect()}
+    assert {("a", "b"), ("a", "c"), ("a", "f")} <= every
