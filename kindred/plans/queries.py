@@ -32,7 +32,8 @@ def _trigram(s, d):
 
 
 def _pairs(p):
-    return O.pair_blocks(O.exact_pairs(p), O.evidence(O.trigram_pairs(p), "trigram:title"))
+    """Exact, lexical and trigram evidence; offers have no embeddings, so no vector layer."""
+    return O.pair_blocks(O.exact_pairs(p), O.evidence(O.lexical_pairs(p), "lexical:fts"), O.evidence(O.trigram_pairs(p), "trigram:title"))
 
 
 def _written(s, d):

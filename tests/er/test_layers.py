@@ -1,0 +1,11 @@
+from kindred import operators as O
+from kindred.plans import queries
+
+
+def test_pairs_found_by_words_alone_are_kept(spark):
+    raw = "id string, prod_name string, brand string, category string, description string, specs string, img_links string, url string, created_at string, updated_at string, retailer string, price string, sku string, dimension string, label long"
+    row = lambda k, name, text: (k, name, "Marca", "Casa > Oleo", text, "{}", "", "", "", "", "loja", "100", "", "30ml", 1)
+    p = O.products(spark.createDataFrame([row("a", "coco cabelo", ""), row("b", "frasco novo de tampa azul", "oleo coco cabelo 30ml")], raw))
+    assert O.exact_pairs(p).count() == O.trigram_pairs(p).count() == 0
+    rows = queries._pairs(p).collect()
+    assert [(r.i, r.j) for r in rows] == [("a", "b")] and rows[0].evidence.startswith("lexical:fts:")
