@@ -12,23 +12,30 @@ ids, so file k holds smaller ids than file k + 1.  Every attempt of a task
 writes a file of its own name, and only the files listed in the written index
 table are read; what a lost task left behind is never looked at.
 
-Texts are encoded word by word: no pre-token of the vocabularies used crosses
-white space, so a worker keeps the ids of words it has met (at most CACHE of
-them) and encodes each distinct word once.
+Texts are encoded word by word where the tokenizer's file shows that no
+pre-token crosses white space, and marks behind Latin letters are words of
+their own (WORDWISE).  A worker keeps the ids of words it has met, up to
+CACHE_BYTES of them, and drops them all when these are full or the task ends.
+Texts are encoded whole with any other tokenizer.
+
+Files.  Their number grows with the bytes of text, FILE_BYTES at most in each
+but for one longer text; a reader gives rows back READ_DOCS at a time, so
+neither end holds more than a chunk and a file's index.
 
 Defined results.  A null text counts as empty: it has the end id alone.  Null
-document ids come first.  Rows that repeat an id follow one another.  An empty
-table writes no file and gives no rows.
+document ids come first.  Rows that repeat an id, ties and copies among them,
+follow one another and are all kept.  A very long text is encoded and written
+whole, over as many chunks as it takes.  Only the id and text columns are read,
+so others may have any name.  An empty table writes no file and gives no rows.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +47,19 @@ from pyspark.sql import functions as F
 from kindred.llm.arrow import Ragged, column, filesystem, slices, word_codes
 from kindred.llm.common import materialize, new_folder, ship, text_of
 
-CHUNK, CACHE, END_ID, MAGIC = 1 << 16, 1_500_000, 1, b"BPLANES1"
-_TAIL = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-;=?-@\[-`{}~]+)")  # Latin letters, then ASCII marks; no apostrophe, no < > |
+CHUNK, END_ID, MAGIC = 1 << 16, 1, b"BPLANES1"
+CACHE_BYTES, SLICE, FILE_BYTES, READ_DOCS = 48 << 20, 2 << 20, 128 << 20, 4096
+#: What a kept word takes beside its characters and ids: its string's head, its place in the table, its number.
+WORD_BYTES = 170
+#: A Latin letter and the ASCII marks behind it at a word's end; no apostrophe, no < > |.
+_TAIL = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-;=?-@\[-`{}~]+)(\s|$)"
+#: The normalizer and pre-tokenizer under which words may be encoded apart.
+WORDWISE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
 
 
 class WordEncoder:
@@ -50,46 +68,43 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), Ragged("<u4")
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.wordwise = all(spec.get(k) == v for k, v in WORDWISE.items())
+        self.forget()
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode words not met before; one of letters and trailing marks as its two parts, which are pre-tokens."""
-        split = {w: m.groups() for w in new if (m := _TAIL.fullmatch(w))}
-        parts = [p for p in dict.fromkeys(chain((w for w in new if w not in split), chain.from_iterable(split.values()))) if p not in self.known.number]
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        self.known.extend(parts, np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), "<u4"))
-        if split:
-            number = self.known.number
-            pairs = np.fromiter((number[p] for ab in split.values() for p in ab), np.int64, 2 * len(split))
-            values, lengths = self.known.gather(pairs)
-            self.known.extend(list(split), lengths[::2] + lengths[1::2], values)
+    def forget(self) -> None:
+        self.known, self.held = Ragged("<u4"), 0
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lengths) of texts, as the tokenizer gives them."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids))
 
     def __call__(self, batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): unsigned 32-bit ids of all texts, text i's from offsets[i] on, the end id last."""
-        if self.known.count > CACHE:
-            self.known = Ragged("<u4")
-        # Lower-casing first, as the normalizer would, makes fewer distinct words; not where it could meet a special token or a combining mark.
-        batch = pc.if_else(pc.match_substring_regex(batch, r"<\||\p{M}"), batch, pc.ascii_lower(batch))
-        words, codes, offsets = word_codes(batch)
-        number = self.known.number
-        new = [w for w in words if w not in number]
-        for i in range(0, len(new), 20_000):
-            self._learn(new[i : i + 20_000])
-        numbers = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        values, lengths = self.known.gather(numbers[codes])
-        ends = np.concatenate([[0], np.cumsum(lengths)])[offsets]
+        if not self.wordwise:
+            values, lengths = self._ids(batch.to_pylist())
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+        else:
+            if self.held > CACHE_BYTES:
+                self.forget()
+            # Lower-casing first, as the normalizer would, and marks set apart make fewer distinct words; not where a special token or a combining mark could be met.
+            plain = pc.replace_substring_regex(pc.ascii_lower(batch), _TAIL, r"\1 \2\3")
+            words, codes, offsets = word_codes(pc.if_else(pc.match_substring_regex(batch, r"<\||\p{M}"), batch, plain))
+            number = self.known.number
+            new = [w for w in words if w not in number]
+            for i in range(0, len(new), 5_000):
+                values, lengths = self._ids(part := new[i : i + 5_000])
+                self.known.extend(part, lengths, values)
+                self.held += sum(map(len, part)) + WORD_BYTES * len(part) + values.nbytes
+            numbers = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            values, lengths = self.known.gather(numbers[codes])
+            ends = np.concatenate([[0], np.cumsum(lengths)])[offsets]
         return np.insert(values, ends[1:], END_ID).astype("<u4", copy=False), ends + np.arange(len(ends))
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
-
-
 def planes(ids: np.ndarray, level: int = 3) -> list[bytes]:
     """The four byte planes of ids, compressed."""
     z = zstandard.ZstdCompressor(level=level)
@@ -176,12 +191,12 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, id_col: st
         from pyspark import TaskContext
 
         writer = None
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             if writer is None:
                 fs, root = filesystem(folder)
                 fs.create_dir(root, recursive=True)
                 name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}.planes"
-                writer, encode = Writer(fs.open_output_stream(f"{root}/{name}")), encoder(tokenizer)
+                writer, encode = Writer(fs.open_output_stream(f"{root}/{name}")), WordEncoder(tokenizer)
             ids, ends = encode(column(batch, "text"))
             for k, doc_id in enumerate(batch.column(0).to_pylist()):
                 writer.add(doc_id, ids[ends[k] : ends[k + 1]])
@@ -189,8 +204,10 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, id_col: st
             n = writer.close()
             yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "path": [name], "docs": [len(writer.lengths)], "tokens": [n]}, pa.schema([("part", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("tokens", pa.int64())]))
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(F.col(text_col)).alias("text")).repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(F.col(text_col)).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text") + 64)).head()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FILE_BYTES))
+    ordered = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
     files = ordered.mapInArrow(run, "part int, path string, docs long, tokens long")
     before = F.sum("tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("tokens")
     files = materialize(files, "token-files")  # written once: the files it lists are the ones that count
@@ -200,20 +217,19 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None, id_col: st
 def read(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files that an index table lists."""
     ship(files.sparkSession)
+    names = ["doc_id", "start", "n_tokens", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                fs, root = filesystem(row["folder"])
-                doc_ids, starts, counts, sums, at = [], [], [], [], row["start"]
-                with fs.open_input_file(f"{root}/{row['path']}") as f:
-                    for doc_id, ids in read_documents(f):
-                        doc_ids.append(doc_id)
-                        starts.append(at)
-                        counts.append(len(ids))
-                        sums.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                        at += len(ids)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc_ids, starts, counts, sums)], ["doc_id", "start", "n_tokens", "ids_crc32"])
+        for row in chain.from_iterable(b.to_pylist() for b in batches):
+            fs, root = filesystem(row["folder"])
+            at = row["start"]
+            with fs.open_input_file(f"{root}/{row['path']}") as f:
+                documents = ((doc_id, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for doc_id, ids in read_documents(f))
+                while some := list(islice(documents, READ_DOCS)):
+                    doc_ids, counts, sums = zip(*some)
+                    ends = at + np.cumsum(counts, dtype=np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc_ids, [at, *ends[:-1]], counts, sums)], names=names)
+                    at = int(ends[-1])
 
     n = max(1, files.count())
     return files.repartition(n, "part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
