@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
@@ -131,6 +132,45 @@ def test_pieces_equal_the_library(docs):
     assert all(r.exact and r.ids == sp.encode(texts[r.doc_id]) for r in rows)
 
 
+def _message(*fields):
+    """A protocol buffer message of (number, value): integers, floats, texts and messages."""
+    out = b""
+    for k, v in fields:
+        if isinstance(v, float):
+            out += bytes([k << 3 | 5]) + struct.pack("<f", v)
+        elif isinstance(v, int):
+            out += bytes(pieces_varint(k << 3)) + bytes(pieces_varint(v))
+        else:
+            v = v.encode() if isinstance(v, str) else v
+            out += bytes(pieces_varint(k << 3 | 2)) + bytes(pieces_varint(len(v))) + v
+    return out
+
+
+def pieces_varint(n):
+    out = []
+    while n > 127:
+        out.append(n & 127 | 128)
+        n >>= 7
+    return [*out, n]
+
+
+def test_unigram_pieces_equal_the_library(tmp_path):
+    import sentencepiece
+
+    table = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *[(p, s, 1) for p, s in {"▁": -2.1, "a": -3.3, "b": -3.7, "c": -4.1, "ab": -5.2, "bc": -5.9, "abc": -8.7, "▁a": -4.9, "▁abc": -11.3, "cab": -7.2, "bb": -9.1, "▁▁": -3.5}.items()]]
+    spec = lambda kind: _message(*[(1, _message((1, p), (2, s), (3, t))) for p, s, t in table], (2, _message((3, kind))), (3, _message((3, 1), (4, 0), (5, 1))))
+    path = tmp_path / "toy.model"
+    path.write_bytes(spec(1))
+    sp, m = sentencepiece.SentencePieceProcessor(model_file=str(path)), pieces.Model(str(path))
+    texts = ["abc", "abcabc cab  bb", "xx abxyc a", "", " ", "aabbcc" * 40 + " abcc", "ab\nabc\n", "日本 abc日"]
+    ids, ends = m.encode(pa.array(texts, pa.large_string()))
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [sp.encode(t) for t in texts]
+    assert m.decode(ids, ends)[:2] == [b"abc", b"abcabc cab  bb"]
+    path.write_bytes(spec(4))
+    with pytest.raises(ValueError):
+        pieces.Model(str(path))
+
+
 def test_token_files_round_trip(docs, odd_docs):
     import public_tokenizers
     from tokenizers import Tokenizer
