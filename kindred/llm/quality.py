@@ -11,9 +11,16 @@ merged from the same sketch.
 Rule base (fixed): too few words, or too many words in repeated 5-word windows.
 Windows are compared by 64-bit hashes, twice over by different bits of them.
 
+Filters on the result work on finished measures and are not pushed into the
+scan of the documents.  The sketches' windows run over buckets, of which a
+(language, source, metric) has some hundreds at most, whatever the number of
+documents.
+
 Defined results.  Null text has no words and fails the base.  Null languages
 and sources form groups of their own.  Every row gets a verdict of its own, so
-repeated rows get equal ones.  An empty table gives no rows.
+repeated rows get equal ones; ties at a fence are within it.  A very long text
+is measured whole.  Further columns, whatever their names, pass through
+`filter_documents` untouched.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -118,6 +125,11 @@ def fences(sketches: DataFrame, spread: float, least: int) -> DataFrame:
         *[F.max(F.when(F.col("metric") == m, F.col("f"))).alias(f"f_{m}") for m in METRICS])
 
 
+def _held(name: str) -> Column:
+    """The column, such that no filter on it moves below this projection: there it would repeat all the steps that lead to it within each other."""
+    return F.when(F.monotonically_increasing_id() >= 0, F.col(name)).alias(name)
+
+
 def annotate(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", spread: float = 6.0, least: int = 100) -> DataFrame:
     """Rows of docs as struct `_row`, with the metrics, base_failed and kept.
 
@@ -127,8 +139,7 @@ def annotate(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", so
     limits = materialize(fences(materialize(sketch(measured), "quality-sketches"), spread, least), "quality-fences")
     limits = limits.withColumnsRenamed({"_lang": "_l", "_source": "_s"})
     full = _repeat_steps(measured)
-    # _order keeps filters on the verdict above this projection: pushed below it, they would repeat its steps within each other.
-    full = full.select("_row", "_lang", "_source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *METRICS, F.monotonically_increasing_id().alias("_order"))
+    full = full.select("_row", "_lang", "_source", *[_held(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *METRICS)])
     full = sized_join(full, limits, F.col("_lang").eqNullSafe(F.col("_l")) & F.col("_source").eqNullSafe(F.col("_s")), "left")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     within = F.lit(True)
@@ -146,7 +157,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
 
 def filter_documents(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs that are kept, with docs' own columns."""
-    return annotate(docs, **how).where("kept AND _order >= 0").select("_row.*")
+    return annotate(docs, **how).where("kept").select("_row.*")
 
 
 def _oracle(spread: float = 6.0, least: int = 100) -> str:
