@@ -15,8 +15,13 @@ they get `share` times all words.  A target stops at `most` times its source's
 words and the excess is reshared by weight.  Whole passes take every block; the
 last pass takes blocks until the target is met, the last of them in part.
 
+Tables that grow with the input meet in sort-merge joins alone.
+
 Defined results.  Null and empty texts have size 0 and are never taken.  Rows
-that repeat are laid one after another and are taken each on its own account.
+that repeat are laid one after another and are taken each on its own account;
+so are rows that tie in all but their text.  A very long text is cut into as
+many blocks as it fills.  Further columns, whatever their names, pass through
+`mixed` untouched.
 The table of sources is as long as the weights' table and is held by the
 driver; everything else is distributed.  An empty table gives no rows.
 """
@@ -30,7 +35,7 @@ from kindred.llm.common import materialize, text_of, word_count, words
 
 WEIGHTS, SHARE, MOST = (3.0, 1.0, 2.0), 1.5, 2.0
 BLOCK, SHARD, SEED = 256, 8192, 20
-ROUNDS, GROUP = 24, 256
+ROUNDS, GROUP, SLOTS_A_TASK = 24, 256, 200_000
 
 
 def targets(sizes: list[int], weights: list[float], share: float = SHARE, most: float = MOST) -> list[float]:
@@ -61,22 +66,31 @@ def permuted(x: Column, n: Column, seed: Column, inverse: bool = False) -> Colum
     return F.aggregate(F.array(*[F.lit(r) for r in rounds]), x.cast("long"), swap)
 
 
-def _offsets(df: DataFrame) -> DataFrame:
-    """_start for each row: the words of its source before it.  Groups of about GROUP rows, and groups of groups, are summed."""
-    groups = F.greatest(F.lit(1), F.expr(f"n_docs div {GROUP}"))
-    df = df.withColumn("_g", F.pmod(F.xxhash64("_id", F.lit(SEED)), groups)).withColumn("_gg", F.expr(f"_g div {GROUP}"))
-    small = df.groupBy("sid", "_gg", "_g").agg(F.sum("size").alias("_w"))
-    large = small.groupBy("sid", "_gg").agg(F.sum("_w").alias("_w"))
+def _before(df: DataFrame, keys: list[str], order: str, value: str, name: str) -> DataFrame:
+    """name for each row: the sum of value over the rows of its keys with a smaller order, a number without gaps to speak of.
 
-    def before(table: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return table.withColumn(name, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col(value))
+    Spans of GROUP numbers are summed on their own, then spans of spans: a task gets a
+    GROUP-squared part of a key's rows at most, and the last level one row for each such part.
+    """
+    span, large = F.expr(f"{order} div {GROUP}"), F.expr(f"_span div {GROUP}")
+    df = df.withColumn("_span", span)
+    small = df.groupBy(*keys, "_span").agg(F.sum(value).alias("_w")).withColumn("_large", large)
+    whole = small.groupBy(*keys, "_large").agg(F.sum("_w").alias("_w"))
+    frame = lambda k, o: Window.partitionBy(*k).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = whole.select(*keys, "_large", (F.sum("_w").over(frame(keys, "_large")) - F.col("_w")).alias("_b2"))
+    small = small.withColumn("_b1", F.sum("_w").over(frame([*keys, "_large"], "_span")) - F.col("_w"))
+    small = small.join(whole.hint("merge"), [*keys, "_large"]).select(*keys, "_span", (F.col("_b1") + F.col("_b2")).alias("_b"))
+    inner = F.sum(value).over(frame([*keys, "_span"], order)) - F.col(value)
+    return df.withColumn("_b0", inner).join(small.hint("merge"), [*keys, "_span"]).withColumn(name, F.col("_b0") + F.col("_b")).drop("_span", "_b", "_b0")
 
-    large = before(large, ["sid"], ["_gg"], "_w", "_b2").drop("_w")
-    small = before(small, ["sid", "_gg"], ["_g"], "_w", "_b1").drop("_w")
-    starts = small.join(large, ["sid", "_gg"]).select("sid", "_gg", "_g", (F.col("_b1") + F.col("_b2")).alias("_before"))
-    rows = before(df, ["sid", "_gg", "_g"], ["_rank", "_id", "size", "_tie"], "size", "_b0")
-    return rows.join(starts, ["sid", "_gg", "_g"]).withColumn("_start", F.col("_b0") + F.col("_before")).drop("_g", "_gg", "_b0", "_before")
+
+def _offsets(df: DataFrame) -> DataFrame:
+    """_start for each row: the words of its source before it, its documents taken by groups of about GROUP and by rank within them."""
+    df = df.withColumn("_g", F.pmod(F.xxhash64("_id", F.lit(SEED)), F.greatest(F.lit(1), F.expr(f"n_docs div {GROUP}"))))
+    groups = _before(df.groupBy("sid", "_g").agg(F.sum("size").alias("_w")), ["sid"], "_g", "_w", "_before")
+    within = Window.partitionBy("sid", "_g").orderBy("_rank", "_id", "size", "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = df.withColumn("_b0", F.sum("size").over(within) - F.col("size"))
+    return rows.join(groups.select("sid", "_g", "_before").hint("merge"), ["sid", "_g"]).withColumn("_start", F.col("_b0") + F.col("_before")).drop("_g", "_b0", "_before")
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, most: float = MOST,
@@ -131,8 +145,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     draws = spark.range(total).select(F.expr(f"id div {shard}").alias("shard"), source.alias("sid"))
     counts = materialize(draws.groupBy("shard", "sid").agg(F.count("*").alias("n")), "mix-draws")
     got = {r.sid: r.n for r in counts.groupBy("sid").agg(F.sum("n").alias("n")).collect()}
-    run = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = counts.withColumn("first", F.sum("n").over(run) - F.col("n"))
+    counts = _before(counts, ["sid"], "shard", "n", "first")
     counts = counts.withColumn("keep", F.greatest(F.lit(0), F.least(F.col("n"), at(needs, "long") - F.col("first"))))
     # Slots over a source's need go, in shard order, to the sources that drew too few.
     gaps, low = [], 0
@@ -141,15 +154,13 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
             gaps.append((i, low, low + lack, got.get(i, 0)))
             low += lack
     free = counts.groupBy("shard").agg(F.sum(F.col("n") - F.col("keep")).alias("free")).where("free > 0")
-    tens = free.withColumn("_t", F.expr(f"shard div {GROUP}"))
-    inner = Window.partitionBy("_t").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = tens.groupBy("_t").agg(F.sum("free").alias("w"))
-    sums = sums.select("_t", (F.sum("w").over(Window.orderBy("_t")) - F.col("w")).alias("before"))
-    free = tens.join(sums, "_t").select("shard", "free", (F.sum("free").over(inner) - F.col("free") + F.col("before")).alias("lo"))
+    free = _before(free, [], "shard", "free", "lo")
     table = F.lit([list(g) for g in gaps]).cast("array<array<long>>") if gaps else F.array().cast("array<array<long>>")
     part = F.transform(table, lambda g: F.struct(g[0].cast("int").alias("sid"), F.greatest(F.col("lo"), g[1]).alias("a"), F.least(F.col("lo") + F.col("free"), g[2]).alias("b"), (g[3] - g[1]).alias("by")))
     refill = free.select("shard", F.explode(F.filter(part, lambda x: x["a"] < x["b"])).alias("x")).select("shard", "x.sid", (F.col("x.a") + F.col("x.by")).alias("first"), (F.col("x.b") - F.col("x.a")).alias("keep"))
     taken = counts.select("shard", "sid", "first", "keep").where("keep > 0").unionByName(refill)
+    # A row stands for up to a shard of slots: rows are dealt evenly before they are expanded.
+    taken = taken.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SLOTS_A_TASK)), "shard", "sid")
     slots = taken.select("shard", "sid", F.explode(F.expr("sequence(first, first + keep - 1)")).alias("k"))
     slots = slots.withColumn("n", at(blocks, "long")).withColumns({"pass": F.expr("k div n"), "rank": F.expr("k % n")})
     slots = slots.withColumn("block", permuted(F.col("rank"), F.col("n"), F.xxhash64(F.col("sid").cast("long"), F.col("pass"), F.lit(seed))))
@@ -164,7 +175,7 @@ def spans(docs: DataFrame, block: int = BLOCK, **how) -> DataFrame:
     """What the mix takes of each row in each slot: _id, _tie, shard, pass, and words from_word up to to_word of the text."""
     rows, slots = plan(docs, block=block, **how)
     pieces = _pieces(rows, block)
-    return pieces.join(slots.where("words > 0"), ["sid", "block"]).where("words > piece_at").select(
+    return pieces.join(slots.where("words > 0").hint("merge"), ["sid", "block"]).where("words > piece_at").select(
         "_id", "_tie", "size", "sid", "_start", "shard", "pass", "block", "from_word", (F.col("from_word") + F.least(F.col("n"), F.col("words") - F.col("piece_at"))).alias("to_word"))
 
 
@@ -182,10 +193,10 @@ def report(docs: DataFrame, block: int = BLOCK, **how) -> DataFrame:
     used = slots.groupBy("sid", "block").agg(F.collect_list("words").alias("uses"))
     taken = F.aggregate("uses", F.lit(0).cast("long"), lambda a, w: a + F.greatest(F.lit(0), F.least(F.col("n"), w - F.col("piece_at"))))
     # (sid, _start) is a row's own: rows with words never share a start.
-    per_row = _pieces(rows, block).join(used, ["sid", "block"]).groupBy("sid", "_start").agg(F.sum(taken).alias("taken"))
+    per_row = _pieces(rows, block).join(used.hint("merge"), ["sid", "block"]).groupBy("sid", "_start").agg(F.sum(taken).alias("taken"))
     none = F.lit(0).cast("long")
     shown = lambda df, t: df.select(F.col("_id").alias("doc_id"), "size", "source_size", "target", t.alias("taken"))
-    return shown(rows.where("size > 0").join(per_row, ["sid", "_start"], "left"), F.coalesce("taken", none)).unionByName(shown(rows.where("size = 0"), none))
+    return shown(rows.where("size > 0").join(per_row.hint("merge"), ["sid", "_start"], "left"), F.coalesce("taken", none)).unionByName(shown(rows.where("size = 0"), none))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -204,7 +215,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how
     rows = docs.select(F.struct("*").alias("_row")).withColumns({"_id": F.col(f"_row.`{id_col}`"), "_tie": _tie(F.col(f"_row.`{text_col}`"), F.col(f"_row.`{how.get('source_col', 'source')}`"))})
     rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_tie").orderBy("_tie")))
     same = F.col("a._id").eqNullSafe(F.col("b._id")) & (F.col("a._tie") == F.col("b._tie")) & (F.col("a._nth") == F.col("b._nth"))
-    both = rows.alias("a").join(per_pass.alias("b"), same).select("a._row", "b._spans")
+    both = rows.alias("a").join(per_pass.alias("b").hint("merge"), same).select("a._row", "b._spans")
     text = text_of(F.col(f"_row.`{text_col}`"))
     cut = F.transform(F.array(words(text)), lambda w: F.array_join(F.flatten(F.transform("_spans", lambda s: F.slice(w, (s["from_word"] + 1).cast("int"), (s["to_word"] - s["from_word"]).cast("int")))), " "))[0]
     both = both.withColumn("_new", F.when(F.col("_spans").isNull(), F.col(f"_row.`{text_col}`")).otherwise(cut))

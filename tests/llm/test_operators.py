@@ -85,6 +85,27 @@ def test_mixing_meets_its_targets(docs):
         assert target[s] == pytest.approx(goal[s]) and abs(taken[s] - goal[s]) <= 1
 
 
+def test_mixing_replays_its_slots(spark, docs):
+    """taken of every document against a plain walk over the slots, and the slots against the multinomial draw's promises."""
+    block, shard = 64, 128
+    rows, slots = mixing.plan(docs, block=block, shard=shard)
+    rows, slots = rows.collect(), slots.collect()
+    words = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.sid, r._start, r.size)):
+        assert r.size == 0 or r._start == len(words[r.sid])
+        words[r.sid] += [r._id] * r.size
+    assert Counter(Counter(s.shard for s in slots).values()).keys() <= {shard, len(slots) % shard}
+    taken, seen = Counter(), defaultdict(set)
+    for s in slots:
+        assert s.block not in seen[s.sid, s["pass"]]
+        seen[s.sid, s["pass"]].add(s.block)
+        taken.update(words[s.sid][s.block * block : s.block * block + s.words])
+    for (sid, k), blocks in seen.items():
+        assert k == max(p for q, p in seen if q == sid) or blocks == set(range(-(-len(words[sid]) // block)))
+    got = {r.doc_id: r.taken for r in mixing.report(docs, block=block, shard=shard).collect()}
+    assert got == {r._id: taken[r._id] for r in rows} and any(taken.values())
+
+
 def test_mixed_texts_hold_the_words_taken(docs):
     want = {r.doc_id: r.taken for r in mixing.report(docs).collect()}
     got = Counter()
@@ -226,6 +247,14 @@ def test_quality_counts_by_brute_force(spark, docs):
         assert r.base_failed == (len(w) < 10 or 100 * len(repeated) > 20 * len(w))
 
 
+def test_filters_on_every_column_of_quality(odd_docs):
+    every = quality.report(odd_docs).collect()
+    for c in ("doc_id", "n_words", "n_repeat_words", "base_failed", "kept"):
+        value = every[0][c]
+        got = quality.report(odd_docs).where(F.col(c) == F.lit(value)).collect()
+        assert sorted(map(str, got)) == sorted(str(r) for r in every if r[c] is not None and r[c] == value)
+
+
 def test_quality_keeps_clean_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
