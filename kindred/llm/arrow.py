@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -18,12 +19,25 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
     """The batches cut so that `column` holds about `most` bytes in each.
 
     Pieces are copies: some of Arrow's string kernels misread the offsets of a slice.
+    Memory freed since the last slice goes back to the system, so that a worker that
+    serves one task after another stays as small as its largest slice needs.
     """
     for batch in batches:
         n, size = batch.num_rows, batch.column(batch.schema.get_field_index(column)).nbytes
         step = max(1, n * most // max(size, 1)) if size > most else n
         for i in range(0, n, max(step, 1)):
             yield batch if step >= n else batch.take(pa.array(np.arange(i, min(i + step, n))))
+            give_back()
+
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+
+
+def give_back() -> None:
+    """Return what Arrow's pool and the C library hold free."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:
