@@ -32,6 +32,7 @@ so others may have any name.  An empty table writes no file and gives no rows.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -66,6 +67,8 @@ class WordEncoder:
     """Ids of texts, by a tokenizers file; the ids of words are kept between calls."""
 
     def __init__(self, path: str):
+        # A task has one core.  Threads of the library's own would each keep a heap, which grows from task to task.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
