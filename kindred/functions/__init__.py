@@ -1,40 +1,93 @@
-"""Column functions: text normalisation, attribute extraction, keys and similarities, all within the JVM."""
+"""Column functions: text normalisation, attribute extraction, keys and similarities, all within the JVM.
+
+Defined results.  Null texts count as empty.  Texts of any length are taken
+whole.  Similarities of two empty sets are null where no default is given.
+"""
+
+import unicodedata
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The vocabularies that results depend on.
-STOPWORDS = ("a", "as", "com", "da", "das", "de", "do", "dos", "e", "em", "o", "os", "para", "por", "sem", "um", "uma")
-#: Of the search query alone, whose list is another one.
-SEARCH_STOPWORDS = ("a", "as", "com", "da", "das", "de", "do", "dos", "e", "em", "for", "o", "of", "os", "para", "the", "with")
+# The vocabularies and patterns that results depend on.
+STOPWORDS = ("a", "as", "com", "da", "das", "de", "do", "dos", "e", "em", "for", "of", "o", "os", "para", "the", "with")
 GENERIC_BRANDS = ("", "generic", "generico", "genérico")
 SPEC_KEYS = {"asin": ("asin",), "ean": ("ean", "codigo ean"), "gtin": ("gtin",), "upc": ("upc",)}
 ID_PATTERNS = {"asin": r"(?i)\bB0[A-Z0-9]{8}\b", "ean": r"\b\d{13}\b", "upc": r"\b\d{12}\b"}
-#: Accented Latin letters and their base letters, one for one.
-ACCENTS = ("áàâãäåéèêëíìîïóòôõöúùûüçñýÿ", "aaaaaaeeeeiiiiooooouuuucnyy")
-SIZE = r"(\d+(?:[.,]\d+)?)\s*(fl\s*oz|ml|kg|oz|l|g)\b"
+SIZE = r"(?i)(?<![a-z0-9])(\d+(?:[,.]\d+)?)\s*(fl\s*oz|floz|ml|l|g|kg|oz)(?![a-z])"
+PACK = r"\b(?:pack\s*(?:of)?|kit|combo|dupla|trio|com|contem)?\s*(\d{1,3})\s*(?:produtos|produto|unidades|unidade|pcs|pecas|itens|items|un|x)\b"
+MODEL = r"\b(?=[a-z0-9]*\d)(?:[a-z]{1,5}\d[a-z0-9]{2,}|\d+[a-z]{1,4}\d*)\b"
+SIZE_ONLY = r"^\d+(?:ml|g|kg|oz|l|h)?$"
+REDIRECTS = ("click", "count", "redirect", "redir", "goto", "tracking", "track", "affiliate", "afiliado", "adservice", "ads")
+
+
+@cache
+def _decomposed() -> tuple[str, str, dict[str, str]]:
+    """What compatibility decomposition without combining marks does to characters, as far as it leaves any of a-z 0-9 % & ' ` or nothing.
+
+    (matching, replacement) for translate, which drops the last ones of matching; and the characters that become several.
+    All others end as separators, decomposed or not.
+    """
+    one, gone, several = {}, [], {}
+    for code in range(128, 0x20000):
+        c = chr(code)
+        base = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)) if not 0xD800 <= code < 0xE000 else c
+        if base == "":
+            gone.append(c)
+        elif base != c and any(x in "abcdefghijklmnopqrstuvwxyz0123456789%&'`" for x in base):
+            (one if len(base) == 1 else several)[c] = base
+    return "".join(one) + "".join(gone), "".join(one.values()), several
+
+
+def strip_accents(c: Column) -> Column:
+    """The text decomposed, without combining marks; ASCII texts pass as they are.
+
+    Three literals hold the tables, so that the expression stays small: those of
+    the characters that become several are cut from one text by their place in another.
+    """
+    matching, replacement, several = _decomposed()
+    keys, width = "".join(several), max(map(len, several.values()))
+    values = "".join(v.ljust(width) for v in several.values())
+    place = lambda x: F.instr(F.lit(keys), x)
+    apart = F.array_join(F.transform(F.split(c, ""), lambda x: F.when(place(x) > 0, F.rtrim(F.substr(F.lit(values), (place(x) - 1) * width + 1, F.lit(width)))).otherwise(x)), "")
+    plain = F.when(c.rlike(f"[{keys}]"), apart).otherwise(c)
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(plain, matching, replacement)).otherwise(c)
+
+
+def folded(c: Column) -> Column:
+    """The text in lower case without accents.  It takes a text apart several times over: project it before it is used on."""
+    return strip_accents(F.lower(F.coalesce(c, F.lit(""))))
+
+
+def squeezed(c: Column) -> Column:
+    """Of a folded text: & as a word, apostrophes gone, other marks as single blanks."""
+    t = F.regexp_replace(F.replace(c, F.lit("&"), F.lit(" e ")), "['`]", "")
+    return F.trim(F.regexp_replace(t, "[^a-z0-9%]+", " "))
 
 
 def normalize_text(c: Column) -> Column:
     """Lower case, accents off, & as a word, apostrophes gone, other marks as single blanks."""
-    t = F.translate(F.lower(F.coalesce(c, F.lit(""))), *ACCENTS)
-    t = F.regexp_replace(F.regexp_replace(t, "&", " e "), "['`´]", "")
-    return F.trim(F.regexp_replace(t, "[^a-z0-9%]+", " "))
+    return squeezed(folded(c))
 
 
-def normalize_brand(c: Column) -> Column:
-    return F.regexp_replace(normalize_text(c), "[^a-z0-9]", "")
+def informative_tokens(norm: Column, limit: int = 5) -> Column:
+    """Of a normalised text: the first tokens of over two characters that are no stop words."""
+    return F.slice(F.filter(F.split(norm, " "), lambda t: (F.length(t) > 2) & ~t.isin(*STOPWORDS)), 1, limit)
 
 
-def flat_text(c: Column) -> Column:
-    """The normalised keys and values of a JSON object, or of any other text as it stands; what is nested keeps its JSON escapes."""
-    pieces = F.transform(F.map_entries(F.from_json(c, "map<string,string>")), lambda e: F.concat_ws(" ", e["key"], e["value"]))
-    return normalize_text(F.coalesce(F.array_join(pieces, " "), c))
+def compact(norm: Column) -> Column:
+    """A normalised text as one token."""
+    return F.regexp_replace(norm, "[^a-z0-9]", "")
 
 
-def category_path(c: Column) -> Column:
-    """The normalised parts of a category."""
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "[>›/|]+"), normalize_text), lambda x: x != "")
+def normalize_brand(c: Column) -> Column:
+    return compact(normalize_text(c))
+
+
+def category_path(low: Column) -> Column:
+    """The normalised parts of a folded category."""
+    return F.filter(F.transform(F.split(low, "[>›/|]+"), squeezed), lambda x: x != "")
 
 
 def price_cents(c: Column) -> Column:
@@ -45,42 +98,58 @@ def price_cents(c: Column) -> Column:
 
 def size_hits(text: Column) -> Column:
     """All sizes in a text as (value, unit), in base units ml and g."""
-    low = F.lower(text)
-    numbers, units = F.regexp_extract_all(low, F.lit(SIZE), F.lit(1)), F.regexp_extract_all(low, F.lit(SIZE), F.lit(2))
+    numbers, units = F.regexp_extract_all(text, F.lit(SIZE), F.lit(1)), F.regexp_extract_all(text, F.lit(SIZE), F.lit(2))
 
     def base(z: Column) -> Column:
-        v, u = F.replace(z["n"], F.lit(","), F.lit(".")).cast("double"), F.regexp_replace(z["u"], r"\s+", "")
+        v, u = F.replace(z["n"], F.lit(","), F.lit(".")).cast("double"), F.lower(F.regexp_replace(z["u"], r"\s+", ""))
         factor = F.when(u.isin("l", "kg"), 1000.0).when(u == "floz", 29.5735).when(u == "oz", 28.3495).otherwise(1.0)
         return F.struct((v * factor).alias("value"), F.when(u.isin("l", "ml", "floz"), "ml").otherwise("g").alias("unit"))
 
     return F.transform(F.arrays_zip(numbers.alias("n"), units.alias("u")), base)
 
 
-def pack_count(text: Column) -> Column:
-    n = F.regexp_extract(normalize_text(text), r"\b(\d{1,3}) (?:produtos|unidades|unidade|itens|pecas|un|x)\b", 1).try_cast("int")
+def pack_count(norm: Column) -> Column:
+    """The first number of pieces that a normalised text names, where it is over 1."""
+    n = F.regexp_extract(norm, PACK, 1).try_cast("int")
     return F.when(n > 1, n)
 
 
-def identifier(name: str, specs: Column, haystack: Column) -> Column:
-    """An id of SPEC_KEYS: its last value among the specs' top-level keys, else the first hit of its pattern, else empty."""
-    entries = F.map_entries(F.from_json(specs, "map<string,string>"))
-    named = F.filter(entries, lambda e: normalize_text(e["key"]).isin(*SPEC_KEYS[name]) & (e["value"] != ""))
-    value = F.try_element_at(F.transform(named, lambda e: normalize_text(e["value"])), F.lit(-1))
-    found = normalize_text(F.regexp_extract(haystack, ID_PATTERNS[name], 0)) if name in ID_PATTERNS else F.lit("")
+def identifier(name: str, entries: Column, haystack: Column) -> Column:
+    """An id of SPEC_KEYS: the last value among the specs' normalised entries (k, v), else the first hit of its pattern, else empty."""
+    value = F.try_element_at(F.filter(entries, lambda e: e["k"].isin(*SPEC_KEYS[name])), F.lit(-1))["v"]
+    found = F.lower(F.regexp_extract(haystack, ID_PATTERNS[name], 0)) if name in ID_PATTERNS else F.lit("")
     return F.coalesce(value, found)
 
 
-def model_tokens(text: Column) -> Column:
-    """Sorted distinct tokens of letters and digits that are not sizes."""
-    tokens = F.split(normalize_text(text), " ")
-    model = lambda x: x.rlike(r"^(?:[a-z]{1,5}\d[a-z0-9]*|\d+[a-z]{1,4})$") & ~x.rlike(r"^\d+(?:ml|g|kg|oz|l|h)?$")
-    return F.array_sort(F.array_distinct(F.filter(tokens, model)))
+def model_tokens(norm: Column) -> Column:
+    """Sorted distinct tokens of a normalised text that hold letters and digits and are not sizes."""
+    return F.array_sort(F.array_distinct(F.filter(F.regexp_extract_all(norm, F.lit(MODEL), F.lit(0)), lambda t: ~t.rlike(SIZE_ONLY))))
+
+
+def trusted_url(host: Column, path: Column) -> Column:
+    """Whether a folded host and path lead to a product page: no redirect or tracking word, and a token with a digit or two telling ones in the path."""
+    tokens = F.filter(F.split(squeezed(path), " "), lambda t: F.length(t) >= 3)
+    length = F.aggregate(tokens, F.lit(0), lambda n, t: n + F.length(t))
+    return ~F.concat(host, F.lit("/"), path).rlike("|".join(REDIRECTS)) & (F.exists(tokens, lambda t: t.rlike("[0-9]")) | ((F.size(tokens) >= 2) & (length >= 12)))
+
 
+def url_parts(url: Column) -> tuple[Column, Column]:
+    """(host, path) of a url, without a leading www., the last segment's parameters and slashes at the end."""
+    clean = F.regexp_replace(F.regexp_replace(F.coalesce(url, F.lit("")), "[\t\r\n]", ""), r"^[\x00-\x20]+", "")
+    pattern = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
+    host = F.regexp_replace(F.regexp_extract(clean, pattern, 1), r"(?i)^www\.", "")
+    return host, F.regexp_replace(F.regexp_replace(F.regexp_extract(clean, pattern, 2), ";[^/]*$", ""), "/+$", "")
 
-def canonical_url(url: Column) -> Column:
-    host = F.regexp_replace(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), r"^www\.", "")
-    path = F.lower(F.regexp_replace(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1), "/+$", ""))
-    return F.when((host != "") & (path != ""), F.substring(F.replace(normalize_text(F.concat_ws(" ", host, path)), F.lit(" "), F.lit("/")), 1, 240)).otherwise("")
+
+def canonical_url(host: Column, path: Column) -> Column:
+    """A trusted url's folded host and path as one key, else empty."""
+    key = F.substring(F.replace(squeezed(F.concat_ws(" ", host, path)), F.lit(" "), F.lit("/")), 1, 240)
+    return F.when((host != "") & (path != "") & trusted_url(host, path), key).otherwise("")
+
+
+def embedding_text(**parts: Column) -> Column:
+    """Lines `key: value` of the parts that are not empty."""
+    return F.concat_ws("\n", *[F.when(F.coalesce(v, F.lit("")) != "", F.concat(F.lit(f"{k}: "), v)) for k, v in parts.items()])
 
 
 def trigrams(c: Column) -> Column:
@@ -91,29 +160,9 @@ def trigrams(c: Column) -> Column:
 
 
 def jaccard(a: Column, b: Column) -> Column:
+    """Shared elements by all elements; null where both are empty."""
     n = F.size(F.array_intersect(a, b))
-    return n / (F.size(a) + F.size(b) - n)
-
-
-#: Bits of a gram set's sketch, as words of 64.
-SKETCH_WORDS = 4
-
-
-def gram_bits(grams: Column) -> Column:
-    """A bit map of a set: each element sets the bit its hash names."""
-    places = F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(64 * SKETCH_WORDS)))
-    word = lambda k: F.aggregate(F.filter(places, lambda h: F.floor(h / 64) == k), F.lit(0).cast("long"), lambda s, h: s.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), (h % 64).cast("int"))))
-    return F.array(*[word(k) for k in range(SKETCH_WORDS)])
-
-
-def may_reach(a: Column, n: Column, b: Column, m: Column, least: float) -> Column:
-    """Whether sets of n and m elements with bit maps a and b can have a Jaccard similarity of `least`; never false when they do.
-
-    A bit of one map that the other lacks stands for an element that isn't shared.
-    """
-    alone = lambda x, y: sum((F.bit_count(x[k].bitwiseAND(F.bitwise_not(y[k]))) for k in range(SKETCH_WORDS)), F.lit(0))
-    shared = F.least(n - alone(a, b), m - alone(b, a))
-    return shared >= least * (n + m - shared) - 1e-9
+    return F.try_divide(n, F.size(a) + F.size(b) - n)
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -1,207 +1 @@
-"""Entity-resolution operators as DataFrame compositions: products, keys, candidate joins, graph, reports."""
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
-
-from kindred import functions as K
-
-
-def products(raw: DataFrame) -> DataFrame:
-    """Normalised products of raw rows."""
-    text = F.concat_ws(" ", "prod_name", "dimension")
-    path, hits = K.category_path(F.col("category")), K.size_hits(text)
-    df = raw.select(
-        F.col("id").alias("source_id"), "retailer", F.col("prod_name").alias("name_raw"), F.col("brand").alias("brand_raw"), "dimension", "label", K.normalize_text(F.col("prod_name")).alias("name_norm"), K.normalize_brand(F.col("brand")).alias("brand_norm"),
-        F.array_join(path, ">").alias("category_norm"), F.coalesce(F.try_element_at(path, F.lit(-1)), F.lit("")).alias("category_leaf"), K.price_cents(F.col("price")).alias("price_cents"),
-        hits.alias("_hits"), K.pack_count(text).alias("pack_count"), K.model_tokens(F.col("prod_name")).alias("model_tokens"), K.normalize_text(F.col("sku")).alias("sku"),
-        *[K.identifier(k, F.col("specs"), F.concat_ws(" ", "sku", "url", "prod_name", "dimension", "specs", "description")).alias(k) for k in K.SPEC_KEYS], F.col("category").alias("category_raw"), K.canonical_url(F.col("url")).alias("canonical_url"), F.col("specs"), F.col("description"))
-    first = F.get("_hits", F.lit(0))
-    distinct = F.size(F.array_distinct(F.transform("_hits", lambda h: F.struct(F.round(h["value"], 2), h["unit"]))))
-    return df.withColumns({"size_value": first["value"], "size_unit": first["unit"], "size_ambiguous": distinct > 1}).drop("_hits")
-
-
-def quality_flags(p: DataFrame) -> DataFrame:
-    """source_id and the ordered flags of each product."""
-    flag = lambda name, cond: F.when(cond, F.lit(name))
-    return p.select("source_id", F.array_compact(F.array(
-        flag("missing_brand", F.col("brand_norm") == ""), flag("generic_brand", F.col("brand_norm").isin(*K.GENERIC_BRANDS) & (F.col("brand_norm") != "")), flag("missing_category", F.col("category_norm") == ""),
-        flag("missing_price", F.col("price_cents").isNull()), flag("suspicious_price", F.col("price_cents") <= 0), flag("title_too_short", F.size(F.split("name_norm", " ")) <= 1),
-        flag("missing_identifier", F.concat("sku", *K.SPEC_KEYS) == ""))).alias("flags"))
-
-
-def exact_keys(p: DataFrame) -> DataFrame:
-    """(source_id, key_type, key_value): global ids, the retailer's sku, the canonical url."""
-    key = lambda t, v: F.struct(t.alias("key_type"), v.alias("key_value"))
-    keys = F.array(*[key(F.lit(k), F.col(k)) for k in ("ean", "gtin", "upc", "asin")], key(F.concat(F.lit("retailer_sku:"), F.lower("retailer")), F.when(F.col("retailer") != "", F.col("sku")).otherwise("")), key(F.lit("canonical_url"), F.col("canonical_url")))
-    return p.select("source_id", F.explode(F.filter(keys, lambda k: k["key_value"] != "")).alias("k")).select("source_id", "k.*")
-
-
-def exact_pairs(p: DataFrame) -> DataFrame:
-    """Pairs that share an exact key: an equi-join on (type, value); AQE splits hot keys."""
-    a, b = exact_keys(p).alias("a"), exact_keys(p).alias("b")
-    same = (F.col("a.key_type") == F.col("b.key_type")) & (F.col("a.key_value") == F.col("b.key_value")) & (F.col("a.source_id") < F.col("b.source_id"))
-    return a.join(b, same).select(F.col("a.source_id").alias("i"), F.col("b.source_id").alias("j"), F.concat_ws(":", F.lit("exact"), "a.key_type", F.substring("a.key_value", 1, 80)).alias("evidence"))
-
-
-def _top(pairs: DataFrame, by: str, k: int) -> DataFrame:
-    """The k best partners of each i, ties by j; planned as a group limit before and after the shuffle."""
-    rank = F.row_number().over(Window.partitionBy("i").orderBy(F.desc(by), "j"))
-    return pairs.withColumn("rn", rank).where(F.col("rn") <= k).drop("rn")
-
-
-def _expand(hits: DataFrame, left: DataFrame, right: DataFrame, k: int) -> DataFrame:
-    """The k best partners j > i of each i, from hits (brand_norm, x, y, score) between texts.
-
-    left holds (brand_norm, x, i) and right (brand_norm, y, j).  Of one y, the
-    k smallest ids behind i are enough, since ties go by j.
-    """
-    ids = right.groupBy("brand_norm", "y").agg(F.sort_array(F.collect_list("j")).alias("ids"))
-    behind = F.slice(F.filter("ids", lambda j: j > F.col("i")), 1, k)
-    pairs = hits.join(left, ["brand_norm", "x"]).join(ids, ["brand_norm", "y"]).select("i", F.explode(behind).alias("j"), "score")
-    return _top(pairs, "score", k).select("i", "j", F.round("score", 4).alias("score"))
-
-
-SALTS = 8
-
-
-def trigram_pairs(p: DataFrame, k: int = 25, least: float = 0.55, max_block: int | None = None) -> DataFrame:
-    """Top-k trigram neighbours within a brand; blocks over max_block are left out.
-
-    Each pair of distinct titles is compared once, then spread over the offers
-    that bear them.  Bit maps of the gram sets rule most pairs out before any
-    sets are compared.  A brand's left titles are dealt to SALTS tasks, each of
-    which sees all its right ones: the work grows with pairs, so partitions
-    must not be merged or left whole by their bytes.
-    """
-    named = p.where("brand_norm <> '' AND name_norm <> ''").select("source_id", "brand_norm", "name_norm")
-    if max_block is not None:
-        ok = p.groupBy("brand_norm").agg(F.count("*").alias("n")).where(F.col("n") <= max_block).select("brand_norm")
-        named = named.join(ok, "brand_norm", "left_semi")
-    names = named.select("brand_norm", "name_norm").distinct().withColumns({"len": F.length("name_norm"), "grams": K.trigrams(F.col("name_norm"))})
-    names = names.withColumns({"n": F.size("grams"), "bits": K.gram_bits(F.col("grams"))}).where("n > 0")
-    n = int(p.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    a = names.withColumn("salt", F.pmod(F.xxhash64("name_norm"), F.lit(SALTS)).cast("int")).repartition(n, "brand_norm", "salt").alias("a")
-    b = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).repartition(n, "brand_norm", "salt").alias("b")
-    near = a.join(b.hint("merge"), (F.col("a.salt") == F.col("b.salt")) & (F.col("a.brand_norm") == F.col("b.brand_norm")) & (F.col("a.name_norm") <= F.col("b.name_norm")) & (F.abs(F.col("a.len") - F.col("b.len")) <= 24) & K.may_reach(F.col("a.bits"), F.col("a.n"), F.col("b.bits"), F.col("b.n"), least))
-    scored = near.select("a.brand_norm", F.col("a.name_norm").alias("v"), F.col("b.name_norm").alias("w"), K.jaccard(F.col("a.grams"), F.col("b.grams")).alias("score")).where(F.col("score") >= least)
-    way = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
-    hits = scored.select("brand_norm", "score", F.explode(F.array_distinct(F.array(way("v", "w"), way("w", "v")))).alias("e")).select("brand_norm", "e.*", "score")
-    return _expand(hits, named.select("brand_norm", F.col("name_norm").alias("x"), F.col("source_id").alias("i")), named.select("brand_norm", F.col("name_norm").alias("y"), F.col("source_id").alias("j")), k)
-
-
-def lexical_pairs(p: DataFrame, k: int = 25) -> DataFrame:
-    """Products of one brand whose words hold all of i's query words; ranked by the share of j's words that match.
-
-    The query is brand, the first eight informative title words, category leaf
-    and dimension; the document brand, title, category, specs and description.
-    Distinct queries meet distinct documents by their rarest word in the brand.
-    """
-    words = lambda *c: F.array_sort(F.array_distinct(F.filter(F.split(K.normalize_text(F.concat_ws(" ", *c)), "[^a-z0-9]+"), lambda x: x != "")))
-    title = F.slice(F.filter(F.split("name_norm", " "), lambda t: (F.length(t) > 2) & ~t.isin(*K.SEARCH_STOPWORDS)), 1, 8)
-    query, document = words("brand_norm", F.array_join(title, " "), "category_leaf", "dimension"), words("brand_norm", "name_norm", "category_norm", K.flat_text(F.col("specs")), K.flat_text(F.col("description")))
-    slim = p.where("brand_norm <> ''").select("source_id", "brand_norm", F.array_join(query, " ").alias("x"), F.array_join(document, " ").alias("y"))
-    docs = slim.select("brand_norm", "y").distinct().select("brand_norm", "y", F.split("y", " ").alias("d")).select("*", F.explode("d").alias("word"))
-    found = docs.groupBy("brand_norm", "word").agg(F.count("*").alias("n"))
-    asked = slim.select("brand_norm", "x").distinct().select("brand_norm", "x", F.explode(F.split("x", " ")).alias("word"))
-    rarest = asked.join(found, ["brand_norm", "word"], "left").groupBy("brand_norm", "x").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))["word"].alias("word"))
-    q = F.split("x", " ")
-    hits = rarest.join(docs, ["brand_norm", "word"]).where(F.size(F.array_except(q, "d")) == 0).select("brand_norm", "x", "y", (F.size(q) / F.size("d")).alias("score"))
-    return _expand(hits, slim.select("brand_norm", "x", F.col("source_id").alias("i")), slim.select("brand_norm", "y", F.col("source_id").alias("j")), k)
-
-
-#: Vectors of a block, about; two blocks are compared at a time.
-BLOCK_ROWS = 2048
-
-
-def _near_vectors(k: int, least: float):
-    """Of a pair of blocks (columns a, b, block, vec_id, embedding): the k best j of each i, both ways."""
-
-    def run(table: pa.Table) -> pa.Table:
-        ids, block = table["vec_id"].to_numpy(), table["block"].to_numpy()
-        flat = table["embedding"].combine_chunks()
-        m = np.asarray(flat.flatten(), dtype=np.float64).reshape(len(ids), -1)
-        m /= np.sqrt((m * m).sum(1, keepdims=True))
-        first, second = table["a"][0].as_py(), table["b"][0].as_py()
-        out = []
-        for x, y in {(first, second), (second, first)}:
-            left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
-            right = right[np.argsort(ids[right], kind="stable")]
-            for at in range(0, len(left), 256):
-                rows = left[at : at + 256]
-                s = (m[rows] @ m[right].T).round(12)  # what rounds alike is a tie, and goes by j
-                s[ids[rows][:, None] == ids[right]] = -2
-                hit = s >= least
-                for r in np.flatnonzero(hit.any(1)):
-                    js = np.flatnonzero(hit[r])
-                    js = js[np.argsort(-s[r, js], kind="stable")[:k]]
-                    out.append((np.full(len(js), ids[rows[r]]), ids[right[js]], s[r, js]))
-        i, j, score = (np.concatenate(x) for x in zip(*out)) if out else (ids[:0], ids[:0], np.zeros(0))
-        return pa.table({"i": pa.array(i, pa.int64()), "j": pa.array(j, pa.int64()), "score": pa.array(score, pa.float64())})
-
-    return run
-
-
-def vector_pairs(vectors: DataFrame, k: int = 25, least: float = 0.30) -> DataFrame:
-    """Exact cosine neighbours among all vectors: top k of each, unordered pairs by their best similarity.
-
-    Rows are dealt to blocks by the hash of their id.  Each pair of blocks is a
-    group of its own that keeps k partners of a vector; the k best of these
-    are the k best of all.  Vectors that are null or of length 0 have no pairs.
-    """
-    v = vectors.where(K.dot(F.col("embedding"), F.col("embedding")) > 0).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    blocks = v.count() // BLOCK_ROWS + 1
-    v = v.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    dealt = v.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "vec_id", "embedding")
-    n = max(int(v.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(200, blocks * (blocks + 1) // 2))
-    scored = dealt.repartition(n, "a", "b").groupBy("a", "b").applyInArrow(_near_vectors(k, least), "i long, j long, score double")
-    best = _top(scored, "score", k)
-    return best.groupBy(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).agg(F.round(F.max("score"), 4).alias("score"))
-
-
-def pair_blocks(*layers: DataFrame) -> DataFrame:
-    """(i, j) with the sorted set of all layers' evidence."""
-    out = layers[0].select("i", "j", "evidence")
-    for x in layers[1:]:
-        out = out.unionByName(x.select("i", "j", "evidence"))
-    return out.groupBy("i", "j").agg(F.array_join(F.array_sort(F.collect_set("evidence")), "|").alias("evidence"))
-
-
-def evidence(pairs: DataFrame, layer: str) -> DataFrame:
-    return pairs.withColumn("evidence", F.concat(F.lit(layer + ":"), F.format_string("%.4f", "score")))
-
-
-def confidence_bucket(score):
-    return F.when(score >= 0.95, "0.95-1.00").when(score >= 0.90, "0.90-0.95").when(score >= 0.86, "0.86-0.90").when(score >= 0.70, "0.70-0.86").otherwise("<0.70")
-
-
-def confusion(pairs: DataFrame, p: DataFrame, threshold: float) -> DataFrame:
-    """tp, fp, precision of pairs scored at least threshold, against the products' labels."""
-    label = p.select("source_id", "label")
-    both = pairs.join(label.select(F.col("source_id").alias("i"), F.col("label").alias("x")), "i").join(label.select(F.col("source_id").alias("j"), F.col("label").alias("y")), "j")
-    hit, same = F.col("score") >= threshold, F.col("x") == F.col("y")
-    c = both.agg(F.count_if(hit & same).alias("tp"), F.count_if(hit & ~same).alias("fp"), F.count_if(~hit & same).alias("fn"), F.count_if(~hit & ~same).alias("tn"))
-    return c.withColumns({"precision": F.round(F.try_divide("tp", F.col("tp") + F.col("fp")), 6), "recall": F.round(F.try_divide("tp", F.col("tp") + F.col("fn")), 6)})
-
-
-# The thresholds that reports show.
-SCORE_STEPS = (0.90, 0.88, 0.86, 0.84, 0.82, 0.80, 0.78, 0.75, 0.70)
-MODEL_STEPS = (0.99, 0.97, 0.95, 0.90, 0.88, 0.86, 0.84, 0.82, 0.80, 0.78, 0.75, 0.70)
-
-
-def sensitivity(pairs: DataFrame, by: str = "score", steps: tuple = SCORE_STEPS) -> DataFrame:
-    """(threshold, n): how many pairs reach each step, in one pass; pairs whose explanation holds a penalty do not count."""
-    fine = pairs.where(~F.contains(F.coalesce("explanation", F.lit("")), F.lit("penalty:"))) if "explanation" in pairs.columns else pairs
-    counts = fine.agg(*[F.count_if(F.col(by) >= t).alias(f"{t:.2f}") for t in steps])
-    return counts.unpivot([], [f"`{t:.2f}`" for t in steps], "threshold", "n")
-
-
-def largest_groups(records: DataFrame, limit: int = 10) -> DataFrame:
-    """The clusters with most offers, ties by id."""
-    return records.orderBy(F.desc("num_offers"), "dedupe_id").limit(limit).select("dedupe_id", "canonical_name", "num_offers", "retailers", F.round("cluster_confidence", 4).alias("cluster_confidence"), F.slice("source_ids", 1, 10).alias("source_ids"))
-
-
-def least_confident_groups(records: DataFrame, limit: int = 10) -> DataFrame:
-    """Of the clusters with several offers, those with the lowest confidence, ties by id."""
-    return records.where("num_offers > 1").orderBy("cluster_confidence", "dedupe_id").limit(limit).select("dedupe_id", "canonical_name", "num_offers", F.round("cluster_confidence", 4).alias("cluster_confidence"), F.slice("source_ids", 1, 10).alias("source_ids"))
+"""Entity-resolution operators as DataFrame compositions."""

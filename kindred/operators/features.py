@@ -64,11 +64,11 @@ def _among(tokens: Column, terms: tuple) -> Column:
 
 def profile(p: DataFrame) -> DataFrame:
     """The products with their salient, variant, component and form tokens and the kit flag."""
-    title = K.normalize_text(F.coalesce(F.nullif("name_raw", F.lit("")), "name_norm"))
-    brand = K.normalize_text(F.coalesce(F.nullif("brand_raw", F.lit("")), "brand_norm"))
-    category = K.normalize_text(F.coalesce(F.nullif("category_leaf", F.lit("")), "category_norm"))
-    known = F.concat(F.split(brand, " "), F.split(category, " "), F.array(*map(F.lit, K.STOPWORDS)))
-    p = p.withColumns({"_title": title, "_identity": _tokens(K.normalize_text(F.concat_ws(" ", "name_raw", "name_norm", "category_leaf", "dimension")))})
+    brand = F.when(F.col("brand_raw") != "", K.normalize_text(F.col("brand_raw"))).otherwise(F.col("brand_norm"))
+    category = F.coalesce(F.nullif("category_leaf", F.lit("")), F.replace("category_norm", F.lit(">"), F.lit(" ")))
+    p = p.withColumns({"_brand": brand, "_dimension": K.normalize_text(F.col("dimension"))})
+    known = F.concat(F.split("_brand", " "), F.split(category, " "), F.array(*map(F.lit, K.STOPWORDS)))
+    p = p.withColumns({"_title": F.col("name_norm"), "_identity": _tokens(F.concat_ws(" ", "name_norm", "category_leaf", "_dimension"))})
     words = F.split("_title", " ")
     after = F.filter(F.transform(words, lambda w, k: F.when((k > 0) & F.get(words, k - 1).isin(*VARIANT_PREFIXES) & ~w.isin(*K.STOPWORDS), w)), lambda w: w.isNotNull())
     shades = F.filter(F.concat(F.regexp_extract_all("_title", F.lit(SHADE), F.lit(0)), after), lambda w: ~w.rlike(SIZE_LIKE))
@@ -78,10 +78,10 @@ def profile(p: DataFrame) -> DataFrame:
         "parts": _among(F.col("_identity"), KIT_COMPONENTS), "forms": _among(F.col("_identity"), FORMS), "name_tokens": _tokens(F.col("name_norm")),
         "is_kit": F.coalesce(F.col("pack_count") > 1, F.lit(False)) | F.arrays_overlap("_identity", F.array(*map(F.lit, KIT_MARKERS)))
         | (F.contains("name_raw", F.lit("+")) & (F.size(_among(F.col("_identity"), KIT_COMPONENTS)) >= 2)),
-    }).drop("_title", "_identity")
+    }).drop("_title", "_identity", "_brand", "_dimension")
 
 
-_SIDE = ("retailer", "brand_norm", "name_norm", "category_leaf", "model_tokens", "salient", "variants", "parts", "forms", "name_tokens", "is_kit", "size_value", "size_unit", "size_ambiguous", "pack_count", "price_cents", "canonical_url", *IDS)
+_SIDE = ("retailer", "category_norm", "specs_text", "description_norm", "brand_norm", "name_norm", "category_leaf", "model_tokens", "salient", "variants", "parts", "forms", "name_tokens", "is_kit", "size_value", "size_unit", "size_ambiguous", "pack_count", "price_cents", "canonical_url", *IDS)
 
 
 def sides(pairs: DataFrame, p: DataFrame) -> DataFrame:
@@ -152,18 +152,27 @@ def _jaccard(a: str, b: str, empty: float) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), empty).otherwise(K.jaccard(F.col(a), F.col(b)))
 
 
-def pair_features(pairs: DataFrame, p: DataFrame) -> DataFrame:
+def retrieval() -> dict[str, Column]:
+    """exact_hit, lexical_sim, trigram_sim and vector_sim from parts_, the list of a pair's evidence; a layer's value that is no number counts as its default."""
+    def layer(prefix: str, default: float) -> Column:
+        values = F.transform(F.filter("parts_", lambda e: e.startswith(prefix)), lambda e: F.coalesce(F.element_at(F.split(e, ":"), -1).try_cast("double"), F.lit(default)))
+        return F.coalesce(F.array_max(values), F.lit(0.0))
+
+    # The prefixes, their defaults and the lexical factor.
+    return {"exact_hit": F.exists("parts_", lambda e: e.startswith("exact:")).cast("double"), "lexical_sim": F.least(F.lit(1.0), 1.4 * layer("lexical:fts:", 0.70)),
+            "trigram_sim": F.least(F.lit(1.0), layer("trigram:title:", 0.45)), "vector_sim": F.least(F.lit(1.0), layer("vector:cosine:", 0.78))}
+
+
+def pair_features(pairs: DataFrame, p: DataFrame, keep: bool = False) -> DataFrame:
     """i, j, certainty, reason and the 45 features of pairs (i, j, evidence).
 
     evidence is the text of `pair_blocks`, parts joined by |.  A column named
     semantic_sim gives the vectors' cosine; it counts as 0 where it is absent.
+    With `keep`, evidence, the retrieval values, both sides and their string scores stay.
     """
     semantic = F.nanvl(F.coalesce(F.col("semantic_sim"), F.lit(0.0)), F.lit(0.0)) if "semantic_sim" in pairs.columns else F.lit(0.0)
     df = sides(pairs, p).withColumns({"rule": rule(), "semantic_sim": F.greatest(F.lit(0.0), F.least(F.lit(1.0), semantic)), "parts_": F.split("evidence", r"\|")})
-    df = df.withColumn("types", F.array_distinct(F.transform(F.filter("parts_", lambda e: e.rlike("^exact:[^:]*:")), lambda e: F.get(F.split(e, ":"), F.lit(1)))))
-
-    def layer(prefix: str) -> Column:
-        return F.coalesce(F.array_max(F.transform(F.filter("parts_", lambda e: e.startswith(prefix)), lambda e: F.element_at(F.split(e, ":"), -1).try_cast("double"))), F.lit(0.0))
+    df = df.withColumns({"types": F.array_distinct(F.transform(F.filter("parts_", lambda e: e.rlike("^exact:[^:]*:")), lambda e: F.get(F.split(e, ":"), F.lit(1)))), **retrieval()})
 
     shared, retailer, brand = {k: _same(k) for k in IDS}, _l("retailer") == _r("retailer"), _same("brand_norm")
     has = lambda *ts: F.arrays_overlap("types", F.array(*map(F.lit, ts)))
@@ -201,13 +210,12 @@ def pair_features(pairs: DataFrame, p: DataFrame) -> DataFrame:
         "exact_key_count": F.size("types").cast("double"),
         "exact_evidence_strength": F.when(has(*GLOBAL_IDS), 1.0).when(has("asin"), 0.92).when(sku, 0.88).when(has("canonical_url"), 0.86).otherwise(0.0),
         "exact_sku_same_retailer": ((shared["sku"] & retailer) | sku).cast("double"), "exact_sku_cross_retailer": (shared["sku"] & ~retailer).cast("double"),
-        "lexical_sim": F.least(F.lit(1.0), 1.4 * layer("lexical:")), "trigram_sim": F.least(F.lit(1.0), layer("trigram:")),
-        "retrieval_layer_count": (identifier.cast("int") + (layer("lexical:") > 0).cast("int") + (layer("trigram:") > 0).cast("int") + (F.col("semantic_sim") > 0).cast("int")).cast("double"),
+        "retrieval_layer_count": (identifier.cast("int") + (F.col("lexical_sim") > 0).cast("int") + (F.col("trigram_sim") > 0).cast("int") + (F.col("semantic_sim") > 0).cast("int")).cast("double"),
     } | {f"rule_{k}": (F.col("rule.certainty") == k.upper()).cast("double") for k in ("certain_match", "strong_match", "likely_match", "certain_block")})
     df = df.withColumns({
         "contradiction_count": reduce(lambda a, b: a + b, (F.col(k) for k in conflict)), "contradiction_strength": F.greatest(*conflict),
         "feature_coverage_count": reduce(lambda a, b: a + b, ((F.col(k) > 0).cast("double") for k in COVERAGE))})
-    return df.select("i", "j", "rule.certainty", "rule.reason", *COLUMNS)
+    return df.select("i", "j", "rule.certainty", "rule.reason", *COLUMNS, *(["evidence", "exact_hit", "vector_sim", "l", "r", "s"] if keep else []))
 
 
 def hard_contradiction() -> Column:

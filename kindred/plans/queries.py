@@ -1,109 +1,168 @@
-"""The registered entity-resolution queries and their SQL."""
+"""The registered entity-resolution queries, each over its whole tables, and the SQL of those that SQL can express."""
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred import operators as O
-from kindred.operators import clusters, features
-from kindred.sources import OFFERS_SQL, offers
+from kindred.operators import candidates as C
+from kindred.operators import clusters, decisions, evaluation, features, reports, runs, search, training
+from kindred.operators.products import exact_keys, products, search_text
+from kindred.operators.storage import written
+from kindred.plans import policy, sql
+from kindred.sources import offers
 
-UP, LOW = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿ", "aaaaaaeeeeiiiiooooouuuucnyy"
-NORM = f"trim(regexp_replace(regexp_replace(replace(translate(lower({{0}}), '{UP}', '{LOW}'), '&', ' e '), '[''`´]', '', 'g'), '[^a-z0-9%]+', ' ', 'g'))"
-BASE = f"""
-WITH o AS ({OFFERS_SQL}),
-n AS (SELECT id AS source_id, lower(retailer) AS retailer, {NORM.format('prod_name')} AS name_norm, regexp_replace({NORM.format('brand')}, '[^a-z0-9]', '', 'g') AS brand_norm,
-  {NORM.format('sku')} AS sku, coalesce(json_extract_string(specs, '$.EAN'), '') AS ean, price::BIGINT AS price_cents, label, category, dimension,
-  replace({NORM.format("regexp_replace(regexp_extract(url, '://([^/]*)', 1), '^www[.]', '') || ' ' || regexp_replace(regexp_extract(url, '://[^/]*(.*)', 1), '/+$', '')")}, ' ', '/') AS canonical_url FROM o),
-k AS (SELECT source_id, 'ean' AS key_type, ean AS key_value FROM n WHERE ean <> '' UNION ALL SELECT source_id, 'retailer_sku:' || retailer, sku FROM n WHERE sku <> ''
-  UNION ALL SELECT source_id, 'canonical_url', canonical_url FROM n WHERE canonical_url <> ''),
-xp AS (SELECT a.source_id AS i, b.source_id AS j, 'exact:' || a.key_type || ':' || substr(a.key_value, 1, 80) AS evidence FROM k a JOIN k b ON a.key_type = b.key_type AND a.key_value = b.key_value AND a.source_id < b.source_id),
-g AS (SELECT *, list_distinct(flatten(list_transform(list_filter(regexp_split_to_array(name_norm, '[^a-z0-9]+'), lambda w: w <> ''), lambda w: list_transform(range(1, len(w) + 2), lambda q: substr('  ' || w || ' ', q::BIGINT, 3))))) AS grams FROM n),
-ts AS (SELECT i, j, c / (x + y - c) AS s FROM (SELECT a.source_id AS i, b.source_id AS j, len(list_intersect(a.grams, b.grams))::DOUBLE AS c, len(a.grams) AS x, len(b.grams) AS y FROM g a JOIN g b ON a.brand_norm = b.brand_norm AND a.source_id < b.source_id
-  WHERE a.brand_norm <> '' AND a.name_norm <> '' AND b.name_norm <> '' AND abs(length(a.name_norm) - length(b.name_norm)) <= 24)),
-tp AS (SELECT i, j, round(s, 4) AS score FROM ts WHERE s >= 0.55 QUALIFY row_number() OVER (PARTITION BY i ORDER BY s DESC, j) <= 25)
-"""
 
+def _p(s, d) -> DataFrame:
+    return products(offers(s, d))
 
-def _p(s, d):
-    return O.products(offers(s, d))
 
+def _written(s, d) -> DataFrame:
+    """The products as a table: they are read many times over by pairs, features and clusters."""
+    return written(_p(s, d))
+
+
+def _trigram(s, d) -> DataFrame:
+    return C.trigram_pairs(_written(s, d))
 
-def _trigram(s, d):
-    return O.trigram_pairs(_p(s, d))
+
+def _layers(p):
+    """Evidence rows of exact, lexical and trigram pairs; offers have no embeddings, so no vector layer."""
+    return C.exact_pairs(p), C.evidence(C.lexical_pairs(p), "lexical:fts"), C.evidence(C.trigram_pairs(p), "trigram:title")
 
 
 def _pairs(p):
-    """Exact, lexical and trigram evidence; offers have no embeddings, so no vector layer."""
-    return O.pair_blocks(O.exact_pairs(p), O.evidence(O.lexical_pairs(p), "lexical:fts"), O.evidence(O.trigram_pairs(p), "trigram:title"))
+    return C.pair_blocks(*_layers(p))
 
 
-def _written(s, d):
-    """The products as a table: they are read many times over by pairs, features and clusters."""
-    return clusters.written(_p(s, d))
+def _features(p, keep=False):
+    return features.pair_features(written(_pairs(p)), p, keep)
+
 
+#: A stand-in for a trained model: half the title similarity, and shares of models, sizes and brand.
+MODEL = "0.5 * title_token_set + 0.2 * model_token_jaccard + 0.15 * size_match + 0.15 * brand_exact"
+KEPT = ("i", "j", "certainty", "reason", "ml_score", "score", "decision", "decision_reason", "decision_threshold", "explanation", "evidence")
 
-def _features(p):
-    return features.pair_features(_pairs(p), p)
 
+def _decided(p):
+    return decisions.decide(_features(p, True).withColumn("model_score", F.expr(MODEL)))
 
-def _clusters(p):
-    """Rule-certain and strong pairs without a hard contradiction, merged under the guard."""
-    sure = _features(p).where(F.col("certainty").isin("CERTAIN_MATCH", "STRONG_MATCH") & ~features.hard_contradiction())
-    return clusters.guarded(p, sure.select("i", "j", F.lit(1.0).alias("score")))
+
+def _kept(p):
+    return written(decisions.retained(_decided(p)))
+
+
+def _clusters(p, kept=None):
+    """Merging pairs under the guard, in the order of their first layer."""
+    kept = kept if kept is not None else _kept(p)
+    layer = F.when(F.contains("evidence", F.lit("exact:")), 0).when(F.contains("evidence", F.lit("lexical:")), 1).when(F.contains("evidence", F.lit("trigram:")), 2).otherwise(3)
+    return written(clusters.guarded(p, kept.where("decision = 'merge'").select("i", "j", "score", layer.alias("layer"), "explanation")))
 
 
 def _plain(p):
-    return features.pair_features(O.pair_blocks(O.exact_pairs(p)), p).select("i", "j", *[F.round(c, 6).alias(c) for c in PLAIN])
+    return features.pair_features(C.pair_blocks(C.exact_pairs(p)), p).select("i", "j", *[F.round(c, 6).alias(c) for c in PLAIN])
+
+
+def _run(s, d) -> dict[str, DataFrame]:
+    """The tables of a whole run."""
+    p = _written(s, d)
+    kept = _kept(p)
+    assigned = _clusters(p, kept)
+    records = written(clusters.cluster_records(p, assigned))
+    return {"products": p, "pairs": kept, "assigned": assigned, "records": records, "assignments": runs.assignments(p, records)}
+
+
+def _records(s, d) -> DataFrame:
+    return _run(s, d)["records"]
+
+
+def _judged(s, d) -> DataFrame:
+    """Pairs of the exact and trigram layers with a decision by one rule: those with an ean, or of a similarity of 0.84, merge."""
+    p = _written(s, d)
+    pairs = C.pair_blocks(C.exact_pairs(p), C.evidence(C.trigram_pairs(p), "trigram:title"))
+    score = F.regexp_extract("evidence", r"trigram:title:([0-9.]+)", 1).try_cast("double")
+    merge = F.contains("evidence", F.lit("exact:ean:")) | F.coalesce(score >= 0.84, F.lit(False))
+    shown = pairs.select(F.col("i").alias("product_a_id"), F.col("j").alias("product_b_id"), F.col("evidence").alias("blocking_keys"), F.lit("").alias("explanation"), F.when(merge, "merge").otherwise("no_merge").alias("decision"))
+    return evaluation.labelled(shown, p.select("source_id", F.col("label").cast("string").alias("label")))
+
+
+def _scored(s, d) -> DataFrame:
+    """Trigram pairs with their score and whether their labels agree (y): what a threshold is chosen on."""
+    p = _written(s, d)
+    side = lambda c: p.select(F.col("source_id").alias(c), F.col("label").alias(f"_{c}"))
+    return C.trigram_pairs(p).join(side("i"), "i").join(side("j"), "j").withColumn("y", (F.col("_i") == F.col("_j")).cast("int"))
+
+
+def _chosen(s, d) -> DataFrame:
+    threshold, met = training.choose_threshold(training.threshold_curve(_scored(s, d), "score").collect())
+    return s.range(1).select(F.lit(threshold).alias("threshold"), F.lit(met).alias("precision_floor_met"))
+
+
+def _gates(s, d):
+    """Profiles and gates of exact and trigram pairs."""
+    p = _written(s, d)
+    tri = written(C.trigram_pairs(p))
+    profiles = C.retrieval_profiles(C.exact_pairs(p), tri.limit(0), tri)
+    return p, tri, profiles, C.gated(p, profiles)
+
+
+def _gate_stats(s, d):
+    p, tri, profiles, gates = _gates(s, d)
+    return C.gate_stats(gates, C.vector_pool(gates, tri.limit(0), tri, profiles))
 
 
-def _records(p):
-    return clusters.cluster_records(p, clusters.written(_clusters(p)))
+def _round(df, *names):
+    return df.withColumns({c: F.round(c, 6) for c in names})
 
 
 #: The features whose SQL is short, held against the oracle; the string kernels have brute-force tests.
 PLAIN = ("same_retailer", "brand_exact", "size_match", "size_conflict", "pack_match", "pack_conflict", "price_ratio_diff", "exact_ean", "exact_key_count", "exact_evidence_strength", "exact_sku_cross_retailer")
+CURVE = ("precision", "recall", "f1")
+B = sql.BASE
 
 Q = {
-    "normalize_text": (lambda s, d: _p(s, d).select("source_id", "name_norm", "brand_norm"), BASE + "SELECT source_id, name_norm, brand_norm FROM n"),
-    "parse_price": (lambda s, d: _p(s, d).select("source_id", F.col("price_cents").cast("long").alias("price_cents")), BASE + "SELECT source_id, price_cents FROM n"),
-    "identifiers": (lambda s, d: _p(s, d).select("source_id", "sku", "ean"), BASE + "SELECT source_id, sku, ean FROM n"),
-    "canonical_url": (lambda s, d: _p(s, d).select("source_id", "canonical_url"), BASE + "SELECT source_id, canonical_url FROM n"),
-    "extract_pack": (lambda s, d: _p(s, d).select("source_id", "pack_count"), BASE + "SELECT source_id, CASE WHEN name_norm LIKE '%2 unidades%' THEN 2 END AS pack_count FROM n"),
-    "extract_size": (lambda s, d: _p(s, d).select("source_id", "size_value", "size_unit"), BASE + "SELECT source_id, regexp_extract(dimension, '([0-9]+)ml', 1)::DOUBLE AS size_value, 'ml' AS size_unit FROM n"),
-    "quality_flag_top": (lambda s, d: O.quality_flags(_p(s, d)).select(F.explode("flags").alias("flag")).groupBy("flag").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "flag").limit(20),
-                         BASE + "SELECT flag, count(*) AS n FROM (SELECT 'missing_brand' AS flag FROM n WHERE brand_norm = '' UNION ALL SELECT 'missing_identifier' FROM n WHERE sku = '' AND ean = '') GROUP BY flag ORDER BY n DESC, flag LIMIT 20"),
-    "exact_keys": (lambda s, d: O.exact_keys(_p(s, d)), BASE + "SELECT * FROM k"),
-    "exact_pairs": (lambda s, d: O.exact_pairs(_p(s, d)), BASE + "SELECT * FROM xp"),
-    "brand_sizes": (lambda s, d: _p(s, d).groupBy("brand_norm").agg(F.count("*").alias("n")), BASE + "SELECT brand_norm, count(*) AS n FROM n GROUP BY 1"),
-    "trigram_pairs": (_trigram, BASE + "SELECT * FROM tp"),
-    "lexical_pairs": (lambda s, d: O.lexical_pairs(_written(s, d)), None),
-    "vector_pairs": (lambda s, d: O.vector_pairs(s.read.parquet(f"{d}/embeddings.parquet")), """
-WITH s AS (SELECT a.vec_id AS i, b.vec_id AS j, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id),
-t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY i ORDER BY s DESC, j) <= 25)
-SELECT least(i, j) AS i, greatest(i, j) AS j, round(max(s), 4) AS score FROM t WHERE s >= 0.30 GROUP BY 1, 2"""),
-    "pair_merge": (lambda s, d: _pairs(_written(s, d)),
-                   BASE + "SELECT i, j, array_to_string(list_sort(list_distinct(list(evidence))), '|') AS evidence FROM (SELECT * FROM xp UNION ALL SELECT i, j, 'trigram:title:' || printf('%.4f', score) FROM tp) GROUP BY i, j"),
-    "confidence_histogram": (lambda s, d: _trigram(s, d).groupBy(O.confidence_bucket(F.col("score")).alias("bucket")).agg(F.count("*").alias("n")),
-                             BASE + "SELECT CASE WHEN score >= 0.95 THEN '0.95-1.00' WHEN score >= 0.90 THEN '0.90-0.95' WHEN score >= 0.86 THEN '0.86-0.90' WHEN score >= 0.70 THEN '0.70-0.86' ELSE '<0.70' END AS bucket, count(*) AS n FROM tp GROUP BY 1"),
-    "eval_confusion": (lambda s, d: O.confusion(_trigram(s, d), _p(s, d), 0.84),
-                       BASE + """, e AS (SELECT score >= 0.84 AS hit, a.label = b.label AS same FROM tp JOIN n a ON a.source_id = i JOIN n b ON b.source_id = j),
-c AS (SELECT count(*) FILTER (hit AND same) AS tp, count(*) FILTER (hit AND NOT same) AS fp, count(*) FILTER (NOT hit AND same) AS fn, count(*) FILTER (NOT hit AND NOT same) AS tn FROM e)
-SELECT *, round(tp / nullif(tp + fp, 0), 6) AS precision, round(tp / nullif(tp + fn, 0), 6) AS recall FROM c"""),
+    "normalize_text": (lambda s, d: _p(s, d).select("source_id", "name_norm", "brand_norm"), B + "SELECT source_id, name_norm, brand_norm FROM n"),
+    "parse_price": (lambda s, d: _p(s, d).select("source_id", F.col("price_cents").cast("long").alias("price_cents")), B + "SELECT source_id, price_cents FROM n"),
+    "identifiers": (lambda s, d: _p(s, d).select("source_id", "sku", "ean"), B + "SELECT source_id, sku, ean FROM n"),
+    "canonical_url": (lambda s, d: _p(s, d).select("source_id", "canonical_url"), B + "SELECT source_id, canonical_url FROM n"),
+    "specs_text": (lambda s, d: _p(s, d).select("source_id", "specs_text"), B + "SELECT source_id, specs_text FROM n"),
+    "extract_pack": (lambda s, d: _p(s, d).select("source_id", "pack_count"), B + "SELECT source_id, CASE WHEN pack > 1 THEN pack END AS pack_count FROM n"),
+    "extract_size": (lambda s, d: _p(s, d).select("source_id", "size_value", "size_unit"), B + "SELECT source_id, size_value, size_unit FROM n"),
+    "search_text": (lambda s, d: _p(s, d).select("source_id", search_text().alias("search_text")), None),
+    "quality_flag_top": (lambda s, d: reports.quality_flag_top(_p(s, d)), sql.FLAGS),
+    "exact_keys": (lambda s, d: exact_keys(_p(s, d)), B + "SELECT * FROM k"),
+    "exact_pairs": (lambda s, d: C.exact_pairs(_written(s, d)), B + "SELECT * FROM xp"),
+    "brand_sizes": (lambda s, d: _p(s, d).groupBy("brand_norm").agg(F.count("*").alias("n")), B + "SELECT brand_norm, count(*) AS n FROM n GROUP BY 1"),
+    "trigram_pairs": (_trigram, B + "SELECT * FROM tp"),
+    "lexical_pairs": (lambda s, d: C.lexical_pairs(_written(s, d)), None),
+    "vector_pairs": (lambda s, d: C.vector_pairs(s.read.parquet(f"{d}/embeddings.parquet"), least=0.30), sql.VECTORS),
+    "pair_merge": (lambda s, d: _pairs(_written(s, d)), None),
+    "vector_gate": (lambda s, d: _gates(s, d)[3], sql.GATE),
+    "retrieval_profiles": (lambda s, d: _gates(s, d)[2], sql.PROFILES + " SELECT * FROM pr"),
+    "gate_stats": (_gate_stats, None),
+    "confidence_histogram": (lambda s, d: reports.confidence_histogram(_trigram(s, d)), sql.HISTOGRAM),
+    "threshold_sensitivity": (lambda s, d: reports.sensitivity(_trigram(s, d)), sql.SENSITIVITY),
+    "eval_confusion": (lambda s, d: evaluation.metrics(_judged(s, d)), sql.CONFUSION),
+    "eval_slices": (lambda s, d: evaluation.slices(_judged(s, d)), sql.SLICES),
     "pair_features": (lambda s, d: _features(_written(s, d)), None),
-    "pair_features_plain": (lambda s, d: _plain(_written(s, d)), BASE + """, t AS (
-SELECT i, j, count(DISTINCT split_part(evidence, ':', 2)) AS k, bool_or(evidence LIKE 'exact:ean:%') AS e, bool_or(evidence LIKE 'exact:retailer_sku%') AS s FROM xp GROUP BY i, j),
-f AS (SELECT i, j, k, e, s, a.retailer = b.retailer AS sr, a.brand_norm <> '' AND a.brand_norm = b.brand_norm AS be, a.price_cents AS x, b.price_cents AS y, a.ean <> '' AND a.ean = b.ean AS ee, a.sku <> '' AND a.sku = b.sku AND a.retailer <> b.retailer AS sx,
-  regexp_extract(a.dimension, '([0-9]+)ml', 1)::DOUBLE AS u, regexp_extract(b.dimension, '([0-9]+)ml', 1)::DOUBLE AS v, a.name_norm LIKE '%2 unidades%' AS p, b.name_norm LIKE '%2 unidades%' AS q FROM t JOIN n a ON a.source_id = i JOIN n b ON b.source_id = j)
-SELECT i, j, sr::INT::DOUBLE AS same_retailer, be::INT::DOUBLE AS brand_exact, (abs(u - v) <= greatest(0.08 * greatest(u, v), 1))::INT::DOUBLE AS size_match, (abs(u - v) > greatest(0.08 * greatest(u, v), 1))::INT::DOUBLE AS size_conflict,
-  (p AND q)::INT::DOUBLE AS pack_match, 0.0::DOUBLE AS pack_conflict, round(CASE WHEN x > 0 AND y > 0 THEN abs(x - y)::DOUBLE / greatest(x, y) ELSE 1 END, 6) AS price_ratio_diff, ee::INT::DOUBLE AS exact_ean, k::DOUBLE AS exact_key_count,
-  CASE WHEN e THEN 1.0 WHEN s THEN 0.88 ELSE 0.86 END::DOUBLE AS exact_evidence_strength, sx::INT::DOUBLE AS exact_sku_cross_retailer FROM f"""),
+    "pair_features_plain": (lambda s, d: _plain(_written(s, d)), sql.PLAIN),
     "rule_chain": (lambda s, d: _features(_written(s, d)).groupBy("certainty", "reason").agg(F.count("*").alias("n")), None),
-    "exact_components": (lambda s, d: clusters.components(O.exact_pairs(_p(s, d))), BASE.replace("WITH o", "WITH RECURSIVE o") + """, u AS (SELECT DISTINCT i, j FROM xp UNION SELECT j, i FROM xp),
-r(node, other) AS (SELECT i, i FROM u UNION SELECT r.node, u.j FROM r JOIN u ON r.other = u.i) SELECT node, min(other) AS root FROM r GROUP BY node"""),
+    "decision_policy": (policy.decision_policy, policy.ORACLE_SQL),
+    "pair_decisions": (lambda s, d: _kept(_written(s, d)).select(*KEPT), None),
+    "decision_reason_counts": (lambda s, d: reports.decision_reason_counts(_kept(_written(s, d))), None),
+    "eval_error_reasons": (lambda s, d: search.error_reasons(_written(s, d), _kept), None),
+    "exact_components": (lambda s, d: clusters.components(C.exact_pairs(_written(s, d))), sql.COMPONENTS),
     "guarded_clusters": (lambda s, d: _clusters(_written(s, d)), None),
-    "cluster_records": (lambda s, d: _records(_written(s, d)), None),
-    "threshold_sensitivity": (lambda s, d: O.sensitivity(_trigram(s, d)), BASE + "SELECT printf('%.2f', t) AS threshold, (SELECT count(*) FROM tp WHERE score >= t) AS n FROM (VALUES (0.90::DOUBLE), (0.88), (0.86), (0.84), (0.82), (0.80), (0.78), (0.75), (0.70)) v(t)"),
-    "largest_groups": (lambda s, d: O.largest_groups(_records(_written(s, d))), None),
-    "least_confident_groups": (lambda s, d: O.least_confident_groups(_records(_written(s, d))), None),
+    "cluster_records": (_records, None),
+    "largest_groups": (lambda s, d: reports.largest_groups(_records(s, d)), None),
+    "least_confident_groups": (lambda s, d: reports.least_confident_groups(_records(s, d)), None),
+    "product_assignments": (lambda s, d: _run(s, d)["assignments"], None),
+    "near_misses": (lambda s, d: (lambda r: runs.near_misses(r["products"], r["pairs"]))(_run(s, d)), None),
+    "run_summary": (lambda s, d: (lambda r: reports.summary(r["products"], r["pairs"], r["records"], r["assigned"], 0))(_run(s, d)), None),
+    "artifact_documents": (lambda s, d: (lambda r: search.documents(r["assignments"], r["records"], decisions.candidate_records(r["pairs"])))(_run(s, d)), None),
+    "positive_pairs": (lambda s, d: training.positive_pairs(_written(s, d)), sql.POSITIVES),
+    "hard_negatives": (lambda s, d: training.hard_negatives(_written(s, d)), None),
+    "threshold_curve": (lambda s, d: _round(training.threshold_curve(_scored(s, d), "score"), *CURVE), sql.THRESHOLDS),
+    "threshold_choice": (_chosen, None),
+    "average_precision": (lambda s, d: _round(training.average_precision(_scored(s, d), "score"), "average_precision"), sql.AVERAGE_PRECISION),
 }
 QUERIES = {k: f for k, (f, _) in Q.items()}
-ORACLE_SQL = {k: sql for k, (_, sql) in Q.items() if sql}
+ORACLE_SQL = {k: text for k, (_, text) in Q.items() if text}
