@@ -70,7 +70,7 @@ c AS (SELECT slice, {METRICS} FROM s GROUP BY slice) SELECT slice, {RATIOS} FROM
 
 POSITIVES = BASE + """SELECT a.source_id AS i, b.source_id AS j FROM n a JOIN n b ON a.label = b.label AND a.source_id < b.source_id ORDER BY md5('13|' || a.source_id || '|' || b.source_id), i, j LIMIT 50000"""
 CURVE = BASE + """, q AS (SELECT score, (a.label = b.label)::INT AS y FROM tp JOIN n a ON a.source_id = i JOIN n b ON b.source_id = j),
-c AS (SELECT round(0.05 + 0.01 * k, 2) AS threshold, (SELECT sum(y) FROM q WHERE score >= round(0.05 + 0.01 * k, 2)) AS tp, (SELECT count(*) - sum(y) FROM q WHERE score >= round(0.05 + 0.01 * k, 2)) AS fp, (SELECT sum(y) FROM q) AS y FROM range(95) r(k)),
+c AS (SELECT threshold, (SELECT sum(y) FROM q WHERE score >= threshold) AS tp, (SELECT count(*) - sum(y) FROM q WHERE score >= threshold) AS fp, (SELECT sum(y) FROM q) AS y FROM (SELECT round((0.05 + 0.01 * k)::DOUBLE, 2) AS threshold FROM range(95) r(k))),
 v AS (SELECT threshold, coalesce(tp, 0)::BIGINT AS tp, coalesce(fp, 0)::BIGINT AS fp, (y - coalesce(tp, 0))::BIGINT AS fn FROM c),
 z AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0.0) AS recall FROM v)"""
 THRESHOLDS = CURVE + " SELECT threshold, tp, fp, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(coalesce(2 * precision * recall / nullif(precision + recall, 0), 0.0), 6) AS f1 FROM z"
