@@ -22,11 +22,12 @@ JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
 """
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw rows of a CSV file: every column a string, nulls empty, absent columns of the contract empty, a byte-order mark dropped."""
+def read_csv(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """Raw rows of a CSV file: every column a string, nulls empty, absent columns of the contract empty, cells beyond the header and a byte-order mark dropped."""
     df = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"')
     df = df.toDF(*[c.lstrip("﻿").strip() for c in df.columns])
-    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in RAW])
+    df = df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in RAW])
+    return df if limit is None else df.limit(limit)
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
