@@ -11,6 +11,7 @@ from kindred import functions
 from kindred.caches import StageCache, code_hash, input_signature
 from kindred.functions import json_text, rank, similarity
 from kindred.operators import candidates, clusters, decisions, embeddings, features, products, reports, runs, training
+from kindred.operators.storage import written
 from kindred.sources import read_csv
 
 
@@ -72,7 +73,7 @@ def run(spark: SparkSession, rows: DataFrame | str, folder: str, config: Config
         else:
             pairs = candidates.pair_blocks(*layers)
         pairs = embeddings.semantic_similarity(pairs, vectors) if vectors is not None else pairs
-        df = features.pair_features(pairs, p, keep=True)
+        df = written(features.pair_features(written(pairs), p, keep=True))
         df = training.apply(df, model) if model else df.withColumn("model_score", F.lit(0.0))
         least = max(config.merge, model["threshold"]) if model else config.merge
         return decisions.decide(df, least, config.evidence, config.near_miss)

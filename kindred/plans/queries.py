@@ -43,11 +43,14 @@ KEPT = ("i", "j", "certainty", "reason", "ml_score", "score", "decision", "decis
 
 
 def _decided(p):
-    return decisions.decide(_features(p, True).withColumn("model_score", F.expr(MODEL)))
+    # The features are a table of their own: the ladder refers to them many times over, and a plan of both at once takes long to make.
+    return decisions.decide(written(_features(p, True)).withColumn("model_score", F.expr(MODEL)))
 
 
-def _kept(p):
-    return written(decisions.retained(_decided(p)))
+def _kept(p, full=False):
+    """The kept pairs as a table: what reports and clusters need of them, or all of it."""
+    kept = decisions.retained(_decided(p))
+    return written(kept if full else kept.select(*KEPT))
 
 
 def _clusters(p, kept=None):
@@ -61,10 +64,10 @@ def _plain(p):
     return features.pair_features(C.pair_blocks(C.exact_pairs(p)), p).select("i", "j", *[F.round(c, 6).alias(c) for c in PLAIN])
 
 
-def _run(s, d) -> dict[str, DataFrame]:
+def _run(s, d, full=False) -> dict[str, DataFrame]:
     """The tables of a whole run."""
     p = _written(s, d)
-    kept = _kept(p)
+    kept = _kept(p, full)
     assigned = _clusters(p, kept)
     records = written(clusters.cluster_records(p, assigned))
     return {"products": p, "pairs": kept, "assigned": assigned, "records": records, "assignments": runs.assignments(p, records)}
@@ -146,7 +149,7 @@ Q = {
     "pair_features_plain": (lambda s, d: _plain(_written(s, d)), sql.PLAIN),
     "rule_chain": (lambda s, d: _features(_written(s, d)).groupBy("certainty", "reason").agg(F.count("*").alias("n")), None),
     "decision_policy": (policy.decision_policy, policy.ORACLE_SQL),
-    "pair_decisions": (lambda s, d: _kept(_written(s, d)).select(*KEPT), None),
+    "pair_decisions": (lambda s, d: _kept(_written(s, d)), None),
     "decision_reason_counts": (lambda s, d: reports.decision_reason_counts(_kept(_written(s, d))), None),
     "eval_error_reasons": (lambda s, d: search.error_reasons(_written(s, d), _kept), None),
     "exact_components": (lambda s, d: clusters.components(C.exact_pairs(_written(s, d))), sql.COMPONENTS),
@@ -157,7 +160,7 @@ Q = {
     "product_assignments": (lambda s, d: _run(s, d)["assignments"], None),
     "near_misses": (lambda s, d: (lambda r: runs.near_misses(r["products"], r["pairs"]))(_run(s, d)), None),
     "run_summary": (lambda s, d: (lambda r: reports.summary(r["products"], r["pairs"], r["records"], r["assigned"], 0))(_run(s, d)), None),
-    "artifact_documents": (lambda s, d: (lambda r: search.documents(r["assignments"], r["records"], decisions.candidate_records(r["pairs"])))(_run(s, d)), None),
+    "artifact_documents": (lambda s, d: (lambda r: search.documents(r["assignments"], r["records"], decisions.candidate_records(r["pairs"])))(_run(s, d, True)), None),
     "positive_pairs": (lambda s, d: training.positive_pairs(_written(s, d)), sql.POSITIVES),
     "hard_negatives": (lambda s, d: training.hard_negatives(_written(s, d)), None),
     "threshold_curve": (lambda s, d: _round(training.threshold_curve(_scored(s, d), "score"), *CURVE), sql.THRESHOLDS),
