@@ -15,7 +15,8 @@ they get `share` times all words.  A target stops at `most` times its source's
 words and the excess is reshared by weight.  Whole passes take every block; the
 last pass takes blocks until the target is met, the last of them in part.
 
-Tables that grow with the input meet in sort-merge joins alone.
+In `report`, tables that grow with the input meet in sort-merge joins alone; in
+`mixed` Spark picks the joins, which carry texts, by the sizes it finds.
 
 Defined results.  Null and empty texts have size 0 and are never taken.  Rows
 that repeat are laid one after another and are taken each on its own account;
@@ -175,7 +176,7 @@ def spans(docs: DataFrame, block: int = BLOCK, **how) -> DataFrame:
     """What the mix takes of each row in each slot: _id, _tie, shard, pass, and words from_word up to to_word of the text."""
     rows, slots = plan(docs, block=block, **how)
     pieces = _pieces(rows, block)
-    return pieces.join(slots.where("words > 0").hint("merge"), ["sid", "block"]).where("words > piece_at").select(
+    return pieces.join(slots.where("words > 0"), ["sid", "block"]).where("words > piece_at").select(
         "_id", "_tie", "size", "sid", "_start", "shard", "pass", "block", "from_word", (F.col("from_word") + F.least(F.col("n"), F.col("words") - F.col("piece_at"))).alias("to_word"))
 
 
@@ -215,7 +216,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how
     rows = docs.select(F.struct("*").alias("_row")).withColumns({"_id": F.col(f"_row.`{id_col}`"), "_tie": _tie(F.col(f"_row.`{text_col}`"), F.col(f"_row.`{how.get('source_col', 'source')}`"))})
     rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_id", "_tie").orderBy("_tie")))
     same = F.col("a._id").eqNullSafe(F.col("b._id")) & (F.col("a._tie") == F.col("b._tie")) & (F.col("a._nth") == F.col("b._nth"))
-    both = rows.alias("a").join(per_pass.alias("b").hint("merge"), same).select("a._row", "b._spans")
+    both = rows.alias("a").join(per_pass.alias("b"), same).select("a._row", "b._spans")
     text = text_of(F.col(f"_row.`{text_col}`"))
     cut = F.transform(F.array(words(text)), lambda w: F.array_join(F.flatten(F.transform("_spans", lambda s: F.slice(w, (s["from_word"] + 1).cast("int"), (s["to_word"] - s["from_word"]).cast("int")))), " "))[0]
     both = both.withColumn("_new", F.when(F.col("_spans").isNull(), F.col(f"_row.`{text_col}`")).otherwise(cut))
