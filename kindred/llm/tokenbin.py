@@ -14,7 +14,9 @@ table are read; what a lost task left behind is never looked at.
 
 Texts are encoded word by word where the tokenizer's file shows that no
 pre-token crosses white space, and marks behind Latin letters are words of
-their own (WORDWISE).  A worker keeps the ids of words it has met, up to
+their own (WORDWISE).  A word of Latin letters alone is what its normalizer and
+pre-tokenizer leave it, but for case and spelling by bytes, so it goes straight
+to the model; other words take the library's whole way.  A worker keeps the ids of words it has met, up to
 CACHE_BYTES of them, and drops them all when these are full or the task ends.
 Texts are encoded whole with any other tokenizer.
 
@@ -33,10 +35,12 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain, compress, islice, repeat
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +58,10 @@ CACHE_BYTES, SLICE, FILE_BYTES, READ_DOCS = 48 << 20, 2 << 20, 128 << 20, 4096
 WORD_BYTES = 170
 #: A Latin letter and the ASCII marks behind it at a word's end; no apostrophe, no < > |.
 _TAIL = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-;=?-@\[-`{}~]+)(\s|$)"
+#: Words that are one pre-token: composed letters whose small form is one letter.
+_LETTERS = re.compile("[a-zÀ-ÖØ-öø-ÿ]+")
+#: What the byte-level pre-tokenizer writes for bytes of these letters (of ß, à, í) that aren't their own sign.
+_BYTES = {"\x9f": "\u0141", "\xa0": "\u0142", "\xad": "\u0143"}
 #: The normalizer and pre-tokenizer under which words may be encoded apart.
 WORDWISE = {
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
@@ -63,6 +71,11 @@ WORDWISE = {
 }
 
 
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids, lengths) of lists of ids."""
+    return np.fromiter(chain.from_iterable(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids))
+
+
 class WordEncoder:
     """Ids of texts, by a tokenizers file; the ids of words are kept between calls."""
 
@@ -74,7 +87,9 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.wordwise = all(spec.get(k) == v for k, v in WORDWISE.items())
+        # Added tokens are looked for first: with <| and no blank in each, they are in no word of letters and in one word whole.
+        added = [t["content"] for t in spec.get("added_tokens") or []]
+        self.wordwise = all(spec.get(k) == v for k, v in WORDWISE.items()) and all("<|" in t and not re.search(r"\s", t) for t in added)
         self.forget()
 
     def forget(self) -> None:
@@ -82,8 +97,15 @@ class WordEncoder:
 
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, lengths) of texts, as the tokenizer gives them."""
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return np.fromiter(chain.from_iterable(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids))
+        return _flat([e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def _letter_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words of _LETTERS, by the model alone."""
+        spelled = "\n".join(words).lower().encode().decode("latin-1")
+        for byte, sign in _BYTES.items():
+            spelled = spelled.replace(byte, sign)
+        tokenize = self.tokenizer.model.tokenize
+        return _flat([[t.id for t in tokenize(w)] for w in spelled.split("\n")])
 
     def __call__(self, batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): unsigned 32-bit ids of all texts, text i's from offsets[i] on, the end id last."""
@@ -97,12 +119,16 @@ class WordEncoder:
             plain = pc.replace_substring_regex(pc.ascii_lower(batch), _TAIL, r"\1 \2\3")
             words, codes, offsets = word_codes(pc.if_else(pc.match_substring_regex(batch, r"<\||\p{M}"), batch, plain))
             number = self.known.number
-            new = [w for w in words if w not in number]
-            for i in range(0, len(new), 5_000):
-                values, lengths = self._ids(part := new[i : i + 5_000])
-                self.known.extend(part, lengths, values)
-                self.held += sum(map(len, part)) + WORD_BYTES * len(part) + values.nbytes
-            numbers = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            numbers = np.fromiter(map(number.get, words, repeat(-1)), np.int64, len(words))
+            at = np.flatnonzero(numbers < 0)
+            new = [words[i] for i in at]
+            letters = [_LETTERS.fullmatch(w) is not None for w in new]
+            for some, ids in ((list(compress(new, letters)), self._letter_ids), (list(compress(new, map(not_, letters))), self._ids)):
+                for i in range(0, len(some), 5_000):
+                    values, lengths = ids(part := some[i : i + 5_000])
+                    self.known.extend(part, lengths, values)
+                    self.held += sum(map(len, part)) + WORD_BYTES * len(part) + values.nbytes
+            numbers[at] = np.fromiter(map(number.__getitem__, new), np.int64, len(new))
             values, lengths = self.known.gather(numbers[codes])
             ends = np.concatenate([[0], np.cumsum(lengths)])[offsets]
         return np.insert(values, ends[1:], END_ID).astype("<u4", copy=False), ends + np.arange(len(ends))

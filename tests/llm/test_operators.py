@@ -1,6 +1,7 @@
 """Every operator on odd rows and on no rows, and against brute force."""
 
 import hashlib
+import json
 import re
 import struct
 import zlib
@@ -208,6 +209,30 @@ def test_token_files_round_trip(docs, odd_docs):
         assert got == want
 
 
+def test_words_of_letters_go_to_the_model_alone(monkeypatch, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    seen, ids_of = [], tokenbin.WordEncoder._ids
+    monkeypatch.setattr(tokenbin.WordEncoder, "_ids", lambda self, texts: seen.extend(texts) or ids_of(self, texts))
+    latin = "".join(map(chr, range(0xC0, 0x100)))
+    texts = [" ".join(latin), latin.replace("×", "").replace("÷", ""), "Één straße àíß don't it's NAÏVE, x" + "y" * 3000, "a1b 12 µm ªº Ÿ İstanbul \u212aelvin ŉ ΣΑΣ дом 日本", "e\u0301a Abc", "x <|endoftext|> É<|startoftext|>é", "a\u00a0b a\u2028b", ""]
+    path = public_tokenizers.path("word_bpe_49k.json")
+
+    def check(path):
+        encode, tokenizer = tokenbin.WordEncoder(str(path)), Tokenizer.from_file(str(path))
+        ids, ends = encode(pa.array(texts, pa.large_string()))
+        assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+        return encode
+
+    assert check(path).wordwise and seen and not any(re.fullmatch("[a-zÀ-ÖØ-öø-ÿ]+", w) for w in seen)
+    spec = json.loads(open(path, encoding="utf-8").read())
+    spec["added_tokens"].append(spec["added_tokens"][0] | {"id": 49408, "content": "aïv"})  # inside words: texts are encoded whole
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    texts.append("naïve NAÏVE")
+    assert not check(tmp_path / "t.json").wordwise
+
+
 def test_warc_round_trip_and_revisits(spark, pages):
     body = "<p>" + "x" * 200
     rows = [(1, "http://a/ b", body), (2, None, body), (3, "u", None), (4, "u", "short"), (5, "u", "short"), (None, "u", body), (6, "u", "é" * 60)]
