@@ -31,11 +31,11 @@ from kindred.operators.products import exact_keys, search_text
 from kindred.operators.storage import partitions, written
 
 
-def exact_pairs(p: DataFrame) -> DataFrame:
-    """Pairs that share an exact key: an equi-join on (type, value); AQE splits hot keys."""
-    a, b = exact_keys(p).alias("a"), exact_keys(p).alias("b")
+def exact_pairs(p: DataFrame, own: tuple = ()) -> DataFrame:
+    """Pairs that share an exact key: an equi-join on (type, value); AQE splits hot keys.  Columns named in `own` come along as c_i and c_j."""
+    a, b = exact_keys(p, own).alias("a"), exact_keys(p, own).alias("b")
     same = (F.col("a.key_type") == F.col("b.key_type")) & (F.col("a.key_value") == F.col("b.key_value")) & (F.col("a.source_id") < F.col("b.source_id"))
-    return a.join(b, same).select(F.col("a.source_id").alias("i"), F.col("b.source_id").alias("j"), F.concat_ws(":", F.lit("exact"), "a.key_type", F.substring("a.key_value", 1, 80)).alias("evidence"))
+    return a.join(b, same).select(F.col("a.source_id").alias("i"), F.col("b.source_id").alias("j"), F.concat_ws(":", F.lit("exact"), "a.key_type", F.substring("a.key_value", 1, 80)).alias("evidence"), *[F.col(f"{x}.{c}").alias(f"{c}_{k}") for c in own for x, k in (("a", "i"), ("b", "j"))])
 
 
 def exact_links(p: DataFrame) -> DataFrame:
@@ -169,8 +169,8 @@ def trigram_pairs(p: DataFrame, k: int = 25, least: float = 0.55, max_block: int
     return best(titled, titled.withColumnRenamed("q", "d"), hits, k, TITLE_IDS, own).withColumn("score", F.round("score", 4))
 
 
-#: Vectors of a block, about; two blocks are compared at a time.
-BLOCK_ROWS = 2048
+#: Vectors of a block, at least and at most about; two blocks are compared at a time.  In between there are FEW_BLOCKS, so that the copies of a vector don't grow.
+BLOCK_ROWS, MOST_ROWS, FEW_BLOCKS = 2048, 32_768, 36
 
 
 def _near_vectors(k: int, least: float, kind: pa.DataType):
@@ -186,8 +186,9 @@ def _near_vectors(k: int, least: float, kind: pa.DataType):
         for x, y in {(first, second), (second, first)}:
             left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
             right = right[np.argsort(ids[right], kind="stable")]
-            for at in range(0, len(left), 256):
-                rows = left[at : at + 256]
+            step = max(1, min(256, 2**21 // max(1, len(right))))
+            for at in range(0, len(left), step):
+                rows = left[at : at + step]
                 s = (m[rows] @ m[right].T).round(12)  # what rounds alike is a tie, and goes by j
                 s[ids[rows][:, None] == ids[right]] = -2
                 hit = s >= least
@@ -213,7 +214,8 @@ def vector_pairs(vectors: DataFrame, k: int = 25, least: float = 0.78, anchors:
     v = vectors.where(K.dot(F.col("embedding"), F.col("embedding")) > 0).select(F.col("vec_id").cast("string" if text else "long").alias("vec_id"), "embedding")
     if pool is not None:
         v = v.join(pool.select("vec_id").distinct(), "vec_id", "left_semi")
-    blocks = v.count() // BLOCK_ROWS + 1
+    n = v.count()
+    blocks = n // max(BLOCK_ROWS, min(MOST_ROWS, n // FEW_BLOCKS)) + 1
     v = v.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     dealt = v.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "vec_id", "embedding")
     n = max(partitions(v.sparkSession), min(200, blocks * (blocks + 1) // 2))
